@@ -26,14 +26,29 @@ def join_groups(
     weighs more than ``hot_rows`` and more than one ``max_hot_groups``-th of all
     groups together; fewer than ``max_hot_groups`` can, so broadcasting the hot
     groups is safe at any size. Their rows are matched where they are read and
-    never shuffled. All other rows are shuffled on the key, and no group among
-    them is large. Without hot groups adaptive execution drops the first branch.
+    never shuffled. All other rows are matched by an ordinary join: a broadcast
+    one if all groups together are below ``spark.sql.autoBroadcastJoinThreshold``,
+    else they are shuffled on the key, and no group among them is large. Without
+    hot groups adaptive execution drops the first branch.
     """
     keys = list(keys)
-    total = groups.agg(F.sum(weight)).scalar()
+    others = [c for c in groups.columns if c not in keys]
+    # The groups get a shuffle of their own, which all uses below share: neither
+    # filters nor column pruning move past the aggregate. So their true size is
+    # known before anything is done with the rows. With the keys in the other
+    # order Spark does not leave it out for the shuffle that made the groups, and
+    # without NULL keys the joins do not filter it in ways of their own.
+    sized = (
+        groups.where(" AND ".join(f"{k} IS NOT NULL" for k in keys))
+        .repartition(*reversed(keys))
+        .groupBy(*keys)
+        .agg(F.max(F.struct(*others)).alias("group"))
+        .select(*keys, *[F.col(f"group.{c}").alias(c) for c in others])
+    )
+    total = sized.agg(F.sum(weight)).scalar()
     limit = F.greatest(F.lit(float(hot_rows)), total / max_hot_groups)
-    hot = groups.where(F.col(weight) > limit)
-    rest = groups.where(F.col(weight) <= limit)
+    hot = sized.where(F.col(weight) > limit)
+    rest = sized.where(F.col(weight) <= limit)
     in_place = rows.join(F.broadcast(hot), keys)
-    shuffled = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
-    return in_place.unionByName(shuffled).drop(weight)
+    others_rows = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys)
+    return in_place.unionByName(others_rows).drop(weight)

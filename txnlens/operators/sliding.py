@@ -1,8 +1,8 @@
 """Bursts in sliding windows.
 
 A window of one minute that slides by a second covers each row 60 times. Rows
-are therefore counted per slide step first; only those counts are spread over
-windows.
+are therefore counted per slide step first, and steps are judged without being
+spread over windows.
 """
 
 from __future__ import annotations
@@ -35,21 +35,6 @@ def _step_counts(df: DataFrame, slide: str) -> tuple[DataFrame, DataFrame]:
     return rows, counts
 
 
-def sliding_windows(
-    df: DataFrame, window: str = BURST_WINDOW, slide: str = BURST_SLIDE, min_count: int = BURST_COUNT
-) -> DataFrame:
-    """Sliding windows in which a customer has more than ``min_count`` rows."""
-    check_slide(window, slide)
-    _, counts = _step_counts(df, slide)
-    return (
-        counts.select("customer_id", "n", F.window("step", window, slide).alias("window"))
-        .select("customer_id", "n", F.col("window.start").alias("window_start"))
-        .groupBy("customer_id", "window_start")
-        .agg(F.sum("n").alias("transaction_count"))
-        .where(F.col("transaction_count") > min_count)
-    )
-
-
 def _fullest_window(counts: DataFrame, size: int, step: int) -> DataFrame:
     """Per step, the highest count of any window that covers it, as ``transaction_count``.
 
@@ -69,7 +54,28 @@ def _fullest_window(counts: DataFrame, size: int, step: int) -> DataFrame:
         .withColumn("from_here", F.sum("n").over(in_chunk.rangeBetween(0, reach)))
         .withColumn("transaction_count", F.max("from_here").over(in_chunk.rangeBetween(-reach, 0)))
         .where(F.col("chunk") == floor_to(F.col("at"), span))
-        .select(*STEP, "transaction_count", "weight")
+        .select(*STEP, "n", "transaction_count", "weight")
+    )
+
+
+def sliding_windows(
+    df: DataFrame, window: str = BURST_WINDOW, slide: str = BURST_SLIDE, min_count: int = BURST_COUNT
+) -> DataFrame:
+    """Sliding windows in which a customer has more than ``min_count`` rows.
+
+    Only steps under a flagged window are spread over windows: they hold all rows
+    of every flagged window.
+    """
+    size, step = check_slide(window, slide)
+    _, counts = _step_counts(df, slide)
+    return (
+        _fullest_window(counts, size, step)
+        .where(F.col("transaction_count") > min_count)
+        .select("customer_id", "n", F.window("step", window, slide).alias("window"))
+        .select("customer_id", "n", F.col("window.start").alias("window_start"))
+        .groupBy("customer_id", "window_start")
+        .agg(F.sum("n").alias("transaction_count"))
+        .where(F.col("transaction_count") > min_count)
     )
 
 
@@ -86,6 +92,6 @@ def sliding_alerts(
     """
     size, step = check_slide(window, slide)
     rows, counts = _step_counts(df, slide)
-    flagged = _fullest_window(counts, size, step).where(F.col("transaction_count") > min_count)
+    flagged = _fullest_window(counts, size, step).where(F.col("transaction_count") > min_count).drop("n")
     rows = rows.select(*[c for c in ALERT_COLUMNS if c != "transaction_count"], "step")
     return join_groups(rows, flagged, STEP, "weight", **skew).select(*ALERT_COLUMNS)
