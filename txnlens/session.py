@@ -12,7 +12,8 @@ def build_session(app: str = "txnlens", *, hive: bool = False, **conf: str) -> S
     """A session with what the library relies on; cluster sizing is left to spark-submit.
 
     Days, hours and windows are taken in UTC. RocksDB keeps stream state off the
-    heap, so the state of a large stream is bounded by disk rather than memory.
+    heap, so the state of a large stream is bounded by disk rather than memory;
+    a batch then stores what it changed rather than all of it.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -22,6 +23,7 @@ def build_session(app: str = "txnlens", *, hive: bool = False, **conf: str) -> S
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
