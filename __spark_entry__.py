@@ -189,16 +189,13 @@ def alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alerts written by six batches, so that keys get one to six versions."""
+    """Five screenings of all rows at ever lower amounts, so that keys get one to five versions."""
     path = scratch_dir(spark, "alerts")
-    alerts(spark, sf_dir).write.parquet(f"{path}/found")
-    found = spark.read.parquet(f"{path}/found")
-    for batch in range(6):
-        replayed = found.where(F.col("transaction_id") % 6 >= batch)
-        count = (F.col("transaction_count") + batch).alias("transaction_count")
-        replayed = replayed.select(count, *ALERT_COLUMNS[1:])
-        alert_table.write_alert_batch(replayed, batch, f"{path}/stored")
-    return alert_table.read_alerts(spark, f"{path}/stored")
+    rows = raw(spark, sf_dir)
+    for batch in range(5):
+        found = bursts.fraud_alerts(bursts.large_withdrawals(rows, 400 - 100 * batch), WINDOW)
+        alert_table.write_alert_batch(found, batch, path)
+    return alert_table.read_alerts(spark, path)
 
 
 def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,12 +379,19 @@ sliding_alerts AS (
   FROM starts t JOIN sliding s USING (customer_id, window_start)
   GROUP BY t.transaction_id, t.customer_id, t.txn_timestamp, t.amount, t.channel)"""
 
-STORED = ALERTS + """,
+STORED = RAW + """,
+screened AS (
+  SELECT b.i AS batch_id, raw.*, date_trunc('day', txn_timestamp) AS window_start
+  FROM raw, range(5) b(i) WHERE transaction_type = 'withdrawal' AND amount > 400 - 100 * b.i),
+flagged AS (
+  SELECT batch_id, customer_id, window_start, count(transaction_id) AS transaction_count
+  FROM screened GROUP BY ALL HAVING count(transaction_id) > 2),
 stored AS (
-  SELECT customer_id || '_' || transaction_id AS row_key, max(transaction_count) + b.i AS transaction_count,
-         transaction_id, customer_id, txn_timestamp, amount, channel, b.i AS batch_id
-  FROM alerts, range(6) b(i) WHERE transaction_id % 6 >= b.i
-  GROUP BY transaction_id, customer_id, txn_timestamp, amount, channel, b.i),
+  SELECT s.customer_id || '_' || s.transaction_id AS row_key, max(f.transaction_count) AS transaction_count,
+         s.transaction_id, s.customer_id, s.txn_timestamp, s.amount, s.channel, s.batch_id
+  FROM screened s JOIN flagged f ON f.batch_id = s.batch_id AND f.customer_id = s.customer_id
+   AND s.txn_timestamp >= f.window_start AND s.txn_timestamp <= f.window_start + INTERVAL 1 day
+  GROUP BY s.transaction_id, s.customer_id, s.txn_timestamp, s.amount, s.channel, s.batch_id),
 versions AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY row_key ORDER BY batch_id DESC) AS INTEGER) AS version
   FROM stored QUALIFY version <= 4)"""

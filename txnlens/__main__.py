@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from txnlens.operators.bursts import large_withdrawals
 from txnlens.plans.suite import run_reports
 from txnlens.plans.transform import build_tables
@@ -46,10 +48,18 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def read_large_splits(spark: SparkSession) -> None:
+    """Fewer, larger files: a task writes one per channel, so it should read much."""
+    size = "spark.sql.files.maxPartitionBytes"
+    if not spark.sparkContext.getConf().contains(size):
+        spark.conf.set(size, "1g")
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"txnlens-{args.run}", hive=args.hive)
     if args.run == "transform":
+        read_large_splits(spark)
         build_tables(
             spark, args.csv, db=args.db, location=args.location, quarantine_table=args.quarantine_table
         )
