@@ -26,10 +26,10 @@ def micros(duration: str) -> int:
     return int(match[1]) * MICROS[match[2]]
 
 
-def interval(duration: str) -> Column:
-    """The duration as an interval column."""
+def interval(duration: str, times: int = 1) -> Column:
+    """The duration, or a multiple of it, as an interval column."""
     micros(duration)
-    return F.expr(f"INTERVAL {duration}")
+    return F.expr(f"INTERVAL {duration} * {times}")
 
 
 def epoch_micros(timestamp: Column) -> Column:

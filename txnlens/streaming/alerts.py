@@ -1,8 +1,8 @@
 """Alerts for bursts in sliding event-time windows, across micro-batches.
 
-State is kept small. The window state holds one number per customer and window,
-not the window's rows; each row is buffered once, not once per window, until the
-watermark passes the windows over it.
+A row lies in as many sliding windows as they have steps, 60 by default, so state
+per window would be 60 times the rows. Here state is a count per customer and
+step, those counts in three overlapping spans, and each row once.
 """
 
 from __future__ import annotations
@@ -10,34 +10,62 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnlens.functions.durations import epoch_micros, floor_to, interval, micros
+from txnlens.functions.durations import epoch_micros, floor_to, interval
 from txnlens.operators.sliding import check_slide
 from txnlens.schema import ALERT_COLUMNS, BURST_COUNT, BURST_SLIDE, BURST_WINDOW
 
 
+def _windows_from(steps: Column, size: int) -> Column:
+    """For each ``(at, n)`` of an array of steps: ``at`` and the count of the window that starts there."""
+
+    def count_from(first: Column) -> Column:
+        within = F.filter(steps, lambda s: (s["at"] >= first) & (s["at"] < first + size))
+        return F.aggregate(within, F.lit(0).cast("long"), lambda total, s: total + s["n"])
+
+    return F.transform(steps, lambda s: F.struct(s["at"].alias("at"), count_from(s["at"]).alias("n")))
+
+
+def _fullest_over(at: Column, windows: Column, size: int) -> Column:
+    """The highest count of a window over the step ``at``."""
+    over = F.filter(windows, lambda w: (w["at"] <= at) & (w["at"] > at - size))
+    return F.array_max(F.transform(over, lambda w: w["n"]))
+
+
 def _flagged_steps(rows: DataFrame, window: str, slide: str, min_count: int) -> DataFrame:
-    """Each slide step under a flagged window, once per customer, in append mode."""
-    _, step = check_slide(window, slide)
-    first = epoch_micros(F.col("window.start"))
-    last = epoch_micros(F.col("window.end")) - step
+    """Each step under a flagged window, once per customer, in append mode.
+
+    Rows are counted per step. A span is three windows long and decides on the
+    steps of its middle third, all of whose windows lie within it. It collects one
+    entry per step, so its size is bounded by the number of steps in three windows.
+    """
+    size, _ = check_slide(window, slide)
+    counts = rows.groupBy(F.window("txn_timestamp", slide).alias("step"), "customer_id").agg(
+        F.count("transaction_id").alias("n")
+    )
+    entry = F.struct(epoch_micros(F.col("step.start")).alias("at"), F.col("n"))
+    spans = (
+        counts.groupBy(F.window("step", f"{3 * size} microseconds", window).alias("span"), "customer_id")
+        .agg(F.collect_list(entry).alias("steps"), F.sum("n").alias("n"))
+        .where(F.col("n") > min_count)
+        .withColumn("windows", _windows_from(F.col("steps"), size))
+    )
+    middle = epoch_micros(F.col("span.start")) + size
+    windows = F.col("windows")
+    in_middle = F.filter(windows, lambda w: (w["at"] >= middle) & (w["at"] < middle + size))
+    fullest = F.transform(
+        in_middle, lambda w: F.struct(w["at"].alias("at"), _fullest_over(w["at"], windows, size).alias("count"))
+    )
     return (
-        rows.groupBy(F.window("txn_timestamp", window, slide).alias("window"), "customer_id")
-        .agg(F.count("transaction_id").alias("transaction_count"))
-        .where(F.col("transaction_count") > min_count)
-        .select(
+        spans.select(
             F.col("customer_id").alias("flag_customer"),
-            "transaction_count",
-            F.window_time("window").alias("flag_time"),
-            F.explode(F.sequence(first, last, F.lit(step).cast("long"))).alias("flag_step"),
+            F.window_time("span").alias("flag_time"),
+            F.explode(fullest).alias("flag"),
         )
-        .dropDuplicatesWithinWatermark(["flag_customer", "flag_step"])
+        .select("flag_customer", "flag_time", "flag.*")
+        .where(F.col("count") > min_count)
     )
 
 
-def _spread(salts: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("flag_salt")
-
-
 def stateful_alerts(
     rows: DataFrame,
     window: str = BURST_WINDOW,
@@ -47,21 +75,22 @@ def stateful_alerts(
     delay: str = BURST_WINDOW,
     salts: int = 16,
 ) -> DataFrame:
-    """Rows of a stream that lie in a flagged window, each once.
-
-    Windows are counted in state and flagged when the watermark, ``delay`` behind
-    the newest row, has passed them; later rows are dropped. The rows they cover
-    are then taken from a stream-stream join on customer and step. ``salts``
-    spreads the rows of one customer and step over that many join tasks.
-    ``transaction_count`` is that of one of the flagged windows over the row.
-    Duplicate flags of a step lie less than one window apart, so the delay may
-    not be shorter than the window.
+    """Rows of a stream that lie in a flagged window, each once, with the highest count over it.
+
+    Steps are decided on when the watermark, ``delay`` behind the newest row, is up
+    to two windows past them; rows later than the watermark are dropped. The rows
+    of flagged steps come from a stream-stream join on customer and step;
+    ``salts`` spreads those of one customer and step over that many tasks.
     """
-    if micros(delay) < micros(window):
-        raise ValueError(f"delay {delay!r} is shorter than window {window!r}")
     _, step = check_slide(window, slide)
     timed = rows.where(F.col("customer_id").isNotNull()).withWatermark("txn_timestamp", delay)
-    flags = _flagged_steps(timed, window, slide, min_count).select("*", _spread(salts))
+    flags = _flagged_steps(timed, window, slide, min_count).select(
+        "flag_customer",
+        "flag_time",
+        F.col("at").alias("flag_step"),
+        F.col("count").alias("transaction_count"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("flag_salt"),
+    )
     buffered = timed.select(
         *[c for c in ALERT_COLUMNS if c != "transaction_count"],
         floor_to(epoch_micros(F.col("txn_timestamp")), step).alias("step"),
@@ -72,8 +101,8 @@ def stateful_alerts(
         & (F.col("step") == F.col("flag_step"))
         & (F.col("salt") == F.col("flag_salt"))
     )
-    # Implied by the step; tells Spark how long to keep either side.
-    in_window = (F.col("txn_timestamp") <= F.col("flag_time")) & (
-        F.col("txn_timestamp") > F.col("flag_time") - interval(window)
+    # Implied by the step, which is in the span's middle; tells Spark how long to keep either side.
+    in_middle = (F.col("txn_timestamp") > F.col("flag_time") - interval(window, 2)) & (
+        F.col("txn_timestamp") <= F.col("flag_time") - interval(window)
     )
-    return buffered.join(flags, same_step & in_window).select(*ALERT_COLUMNS)
+    return buffered.join(flags, same_step & in_middle).select(*ALERT_COLUMNS)
