@@ -142,8 +142,10 @@ def test_kafka_needs_its_package(spark):
 def test_command_line(spark, tmp_path, folder, capsys):
     folder.add(*[message(i, 10 + i) for i in range(3)])
     alerts = str(tmp_path / "alerts")
-    main(["alerts", "--folder", str(folder.path), "--alerts", alerts, "--checkpoint", str(tmp_path / "c"), "--drain"])
+    main(["alerts", "--folder", str(folder.path), "--alerts", alerts, "--checkpoint", str(tmp_path / "c"), "--per-batch", "5", "--drain"])
     main(["scan", "--alerts", alerts])
     assert "1_2" in capsys.readouterr().out
     with pytest.raises(SystemExit):
         arguments(["alerts", "--alerts", alerts])
+    with pytest.raises(SystemExit):
+        arguments(["alerts", "--kafka", "broker:9092", "--alerts", alerts, "--checkpoint", "c"])

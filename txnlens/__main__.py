@@ -40,12 +40,16 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     alerts.add_argument("--layout", choices=["raw", "clean", "stream"], default="stream")
     alerts.add_argument("--checkpoint", required=True)
     alerts.add_argument("--stateful", action="store_true", help="see bursts across micro-batches")
+    alerts.add_argument("--per-batch", type=int, help="at most so many messages (Kafka) or files per micro-batch")
     alerts.add_argument("--drain", action="store_true", help="take what is there and end")
 
     scan = runs.add_parser("scan", help="show current alerts")
     for run in (alerts, scan):
         run.add_argument("--alerts", required=True, help="folder of the alert table")
-    return parser.parse_args(argv)
+    args = parser.parse_args(argv)
+    if args.run == "alerts" and args.kafka and not args.topic:
+        parser.error("--kafka needs --topic")
+    return args
 
 
 def read_large_splits(spark: SparkSession) -> None:
@@ -66,7 +70,11 @@ def main(argv: list[str] | None = None) -> None:
     elif args.run == "reports":
         run_reports(spark, db=args.db, location=args.location, mode=args.mode)
     elif args.run == "alerts":
-        lines = read_kafka(spark, args.kafka, args.topic) if args.kafka else read_line_files(spark, args.folder)
+        if args.kafka:
+            limit = {"maxOffsetsPerTrigger": str(args.per_batch)} if args.per_batch else {}
+            lines = read_kafka(spark, args.kafka, args.topic, **limit)
+        else:
+            lines = read_line_files(spark, args.folder, files_per_batch=args.per_batch)
         rows = large_withdrawals(parse_lines(lines, args.layout))
         if args.stateful:
             query = start(stateful_alerts(rows), store_handler(args.alerts), args.checkpoint, drain=args.drain)
