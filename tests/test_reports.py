@@ -110,6 +110,13 @@ def test_exact_sum_does_not_depend_on_partitioning(spark):
     assert float(expected) == pytest.approx(paise / 100 + 1.005, abs=1e-6)
 
 
+def test_sums_of_odd_amounts(spark):
+    values = [(1, 5.0), (1, float("nan")), (2, 5.0), (2, float("inf")), (3, 1e17), (3, 0.25), (4, None), (5, 5.0), (5, None)]
+    df = spark.createDataFrame(values, "k int, amount double")
+    got = {r.k: r.total for r in df.groupBy("k").agg(exact_sum("amount").cast("double").alias("total")).collect()}
+    assert got == {1: None, 2: None, 3: 1e17, 4: None, 5: 5.0}
+
+
 def test_sums_round_half_up(spark):
     df = spark.createDataFrame([(1.005,), (0.0,)], "amount double")
     assert df.agg(rounded(exact_sum("amount"))).first()[0] == 1.01

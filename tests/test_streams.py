@@ -123,6 +123,16 @@ def test_restart_continues_from_the_checkpoint(spark, tmp_path, folder):
     assert rows(latest_alerts(stored), "transaction_id", "batch_id") == [(0, 0), (1, 0), (2, 0), (10, 1), (11, 1), (12, 1)]
 
 
+def test_stream_quarantine(spark, tmp_path, folder):
+    folder.add(message(1, 10), "2,x,yesterday", message(3, 10, amount="NaN"))
+    lines = read_line_files(spark, str(folder.path))
+    valid, bad = split_valid(parse_lines(lines, "stream", keep_corrupt=True))
+    for name, part in (("valid", valid), ("bad", bad)):
+        runner.start_parquet(part, str(tmp_path / name), str(tmp_path / f"{name}-c"), drain=True).awaitTermination()
+    assert rows(spark.read.parquet(str(tmp_path / "valid")), "transaction_id") == [(1,)]
+    assert rows(spark.read.parquet(str(tmp_path / "bad")), "transaction_id") == [(2,), (3,)]
+
+
 def test_console(spark, tmp_path, folder):
     folder.add(message(1, 10))
     query = runner.start_console(stream(spark, folder), str(tmp_path / "checkpoint"), drain=True)
@@ -140,7 +150,7 @@ def test_kafka_needs_its_package(spark):
 
 
 def test_command_line(spark, tmp_path, folder, capsys):
-    folder.add(*[message(i, 10 + i) for i in range(3)])
+    folder.add(*[message(i, 10 + i, kind="Withdrawal") for i in range(3)])
     alerts = str(tmp_path / "alerts")
     main(["alerts", "--folder", str(folder.path), "--alerts", alerts, "--checkpoint", str(tmp_path / "c"), "--per-batch", "5", "--drain"])
     main(["scan", "--alerts", alerts])

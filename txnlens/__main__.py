@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from txnlens.operators.bursts import large_withdrawals
+from txnlens.operators.cleaning import normalize
 from txnlens.plans.suite import run_reports
 from txnlens.plans.transform import build_tables
 from txnlens.session import build_session
@@ -75,7 +76,7 @@ def main(argv: list[str] | None = None) -> None:
             lines = read_kafka(spark, args.kafka, args.topic, **limit)
         else:
             lines = read_line_files(spark, args.folder, files_per_batch=args.per_batch)
-        rows = large_withdrawals(parse_lines(lines, args.layout))
+        rows = large_withdrawals(normalize(parse_lines(lines, args.layout)))
         if args.stateful:
             query = start(stateful_alerts(rows), store_handler(args.alerts), args.checkpoint, drain=args.drain)
         else:

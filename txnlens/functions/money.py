@@ -14,12 +14,14 @@ def exact_sum(amount: str | Column) -> Column:
     A plain DOUBLE sum changes with partitioning and retries; a DECIMAL sum does
     not, but costs several times as much per row. So the whole paise are summed
     as LONG, exactly, and only what is left below a paisa, at most half of one
-    per row, as DOUBLE.
+    per row, as DOUBLE. Paise may add up to 9.2e18. An amount that is not finite
+    makes the sum NULL.
     """
     amount = F.col(amount) if isinstance(amount, str) else amount
-    paise = F.rint(amount * 100).cast("long")
-    rest = amount - paise / 100
-    return F.sum(paise).cast("decimal(20,0)") * F.lit(Decimal("0.01")) + F.sum(rest).cast("decimal(18,6)")
+    paise = F.rint(amount * 100).try_cast("long")
+    rest = amount - F.coalesce(paise, F.lit(0)) / 100
+    whole = F.coalesce(F.sum(paise), F.lit(0)).cast("decimal(20,0)") * F.lit(Decimal("0.01"))
+    return whole + F.sum(rest).cast("decimal(30,6)")
 
 
 def rounded(value: Column) -> Column:
