@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows, txn
+from txnlens.__main__ import main
 from txnlens.functions.durations import micros
+from txnlens.operators.cleaning import clean, normalize
 from txnlens.operators.quality import quarantine_counts, split_valid
 from txnlens.plans.suite import run_reports
 from txnlens.plans.transform import build_tables
@@ -118,8 +120,6 @@ def test_rebalanced_table_keeps_all_rows(spark, db, tmp_path, frame):
 def test_reports_run_twice_leaves_tables_unchanged(spark, db, tmp_path, frame):
     location = str(tmp_path / "tables")
     create_database(spark, db)
-    from txnlens.operators.cleaning import clean, normalize
-
     raw = normalize(frame([txn(i, i % 7, status="failed" if i % 3 == 0 else "success", channel="ATM") for i in range(100)]))
     save_table(raw, "raw_transactions", db=db, location=location, partition_by=["channel"])
     save_table(clean(raw), "transactions", db=db, location=location, partition_by=["channel"])
@@ -131,6 +131,16 @@ def test_reports_run_twice_leaves_tables_unchanged(spark, db, tmp_path, frame):
     assert seen[0]["top_five_customers"]
 
 
+def test_command_line_builds_tables_and_reports(spark, csv, db, tmp_path):
+    where = ["--db", db, "--location", str(tmp_path / "tables")]
+    main(["transform", "--csv", csv, *where, "--quarantine-table", "rejected"])
+    main(["reports", *where])
+    assert load_table(spark, "rejected", db).count() == 4
+    assert rows(load_table(spark, "avg_txn_amt_by_channel", db)) == [("atm", 450.5)]
+    main(["reports", *where, "--mode", "append"])
+    assert load_table(spark, "avg_txn_amt_by_channel", db).count() == 2
+
+
 def alert(number, count, customer=1):
     return (count, number, customer, txn(0)[2], 450.0, "atm")
 
