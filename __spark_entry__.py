@@ -28,6 +28,13 @@ from txnlens.sources import catalog, files, lines, streams  # noqa: E402
 from txnlens.streaming import runner  # noqa: E402
 from txnlens.streaming.alerts import stateful_alerts  # noqa: E402
 
+try:
+    from txnlens.llm import registry as llm
+except ModuleNotFoundError as error:  # the subpackage and its pipeline can be left out
+    if not (error.name or "").startswith(("txnlens.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 WINDOW, SLIDE = "1 day", "1 hour"
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -262,6 +269,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     """All queries by name."""
+    return core_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    """The same results in SQL, by name."""
+    return core_sql() | (llm.oracle_sql() if llm else {})
+
+
+def core_queries() -> dict[str, Query]:
+    """Queries of the bank transactions."""
     return {
         "clean_transactions": on(records, cleaning.clean_transactions),
         "top_customers": on(clean, reports.top_customers),
@@ -423,8 +440,8 @@ def gap_reasons(source: str, first: str = "NULL") -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
-    """The same results in SQL, by name."""
+def core_sql() -> dict[str, str]:
+    """Their results in SQL."""
 
     def q(ctes: str, select: str) -> str:
         return f"WITH {ctes.strip()}\n{select}"

@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from tests.compare import connect, difference
 from tests.conftest import SF_DIR
 
-SQL = contract.oracle_sql()
+SQL = contract.core_sql()
 
 
 @pytest.fixture(scope="module")
@@ -16,13 +16,13 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.core_queries()))
 def test_query_equals_sql(spark, con, name):
-    assert difference(spark, con, SF_DIR, contract.queries()[name], SQL[name]) is None
+    assert difference(spark, con, SF_DIR, contract.core_queries()[name], SQL[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(contract.queries())
+    assert set(SQL) == set(contract.core_queries())
 
 
 def test_entry(spark):
