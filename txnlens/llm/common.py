@@ -6,9 +6,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from txnlens.session import scratch_dir
 
@@ -81,6 +84,21 @@ def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix64(out)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
+
+
+def record_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    arrays = [pa.array(c, field.type) for c, field in zip(columns, schema, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def row_key() -> Column:
+    """A key that only rows with the same id and text share."""
+    return F.xxhash64("doc_id", "text").alias("row_key")
+
+
 def chunks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about so many characters together; a longer text stands alone."""
     start = size = 0

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from txnlens.llm import mixing, sharding
+from txnlens.llm import decontamination, dedup, mixing, sharding
 
 
 def queries() -> dict:
     return {
+        "op1_decontamination": decontamination.op1_decontamination,
+        "op2_near_duplicates": dedup.op2_near_duplicates,
         "op5_mixing": mixing.op5_mixing,
         "op9_sharding": sharding.op9_sharding,
     }
@@ -14,6 +16,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_decontamination": decontamination.oracle(),
         "op5_mixing": mixing.oracle(),
         "op9_sharding": sharding.oracle(),
     }
