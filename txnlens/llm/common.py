@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,10 +13,14 @@ from pyspark.sql.types import StructType
 
 from txnlens.session import scratch_dir
 
-#: Words of lower-cased UTF-8: ASCII letters, digits and every non-ASCII code point.
-WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-#: Entries after which a worker's cache of word hashes starts anew.
-CACHE_WORDS = 500_000
+#: Bytes of lower-cased UTF-8 that words are made of: ASCII letters, digits, every non-ASCII code point.
+WORD_BYTES = np.zeros(256, bool)
+WORD_BYTES[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+#: All bytes but white space.
+TOKEN_BYTES = np.ones(256, bool)
+TOKEN_BYTES[[32, *range(9, 14)]] = False
+#: Bytes of a text that are hashed at a time.
+PIECE = 1 << 22
 #: Characters that one step of vectorised work takes at a time.
 CHUNK_CHARS = 1_000_000
 
@@ -45,24 +47,6 @@ def hash60(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words of a text with A-Z lower-cased; none of a null text."""
-    return WORD.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers."""
     x = x ^ (x >> np.uint64(30))
@@ -72,6 +56,39 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS = np.cumprod(np.full(4096, 0xD6E8FEB86659FD93, np.uint64))
+
+
+def word_hashes(text: str | None, kind: np.ndarray = WORD_BYTES) -> np.ndarray:
+    """64-bit hashes of a text's words with A-Z lower-cased: the runs of bytes of one kind. None of a null text."""
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+    if len(data) <= PIECE:
+        return _piece_hashes(data, kind)
+    parts, start = [], 0
+    while start < len(data):
+        end = min(start + PIECE, len(data))
+        while end < len(data) and kind[data[end]]:  # a piece ends with a word
+            end += 1
+        parts.append(_piece_hashes(data[start:end], kind))
+        start = end
+    return np.concatenate(parts)
+
+
+def _piece_hashes(data: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    inside = kind[data]
+    if not inside.any():
+        return np.empty(0, np.uint64)
+    at = np.flatnonzero(inside)
+    first = np.empty(len(at), bool)
+    first[0] = True
+    np.not_equal(at[1:], at[:-1] + 1, out=first[1:])
+    starts = np.flatnonzero(first)
+    lengths = np.diff(starts, append=len(at))
+    place = np.arange(len(at)) - np.repeat(starts, lengths)
+    terms = (data[at].astype(np.uint64) + (place >> 12).astype(np.uint64) * np.uint64(257)) * _POWERS[place & 4095]
+    return mix64(np.add.reduceat(terms, starts) + lengths.astype(np.uint64))
+
+
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """Order-sensitive hashes of all runs of k word hashes."""
     n = len(hashes) - k + 1

@@ -23,14 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.llm.common import (
-    WordHashes,
     arrow_schema,
     gram_hashes,
     materialize,
     record_batch,
     row_key,
     table,
-    words_of,
+    word_hashes,
 )
 
 WINDOW, GRAM = 10, 5
@@ -105,11 +104,10 @@ def item_fingerprints(items: DataFrame, window: int, gram: int) -> DataFrame:
     """(item_id, n, fp, pos, lead, around) of all items; ``n``: words in a window of the item."""
 
     def run(batches):
-        cache = WordHashes()
         for batch in batches:
             rows = []
             for item, text in zip(batch["item_id"], batch["text"], strict=True):
-                hashes = cache.of(words_of(text))
+                hashes = word_hashes(text)
                 if len(hashes) >= window:
                     found = hits_of(hashes, window, gram, [])
                 else:
@@ -130,13 +128,12 @@ def document_hits(docs: DataFrame, bits: np.ndarray, window: int, gram: int, sho
     arrow = arrow_schema(schema)
 
     def run(batches):
-        cache = WordHashes()
         bits = shared.value
         for batch in batches:
             keys, ids, texts = (batch.column(i).to_pylist() for i in range(3))
             rows = []
             for key, doc, text in zip(keys, ids, texts, strict=True):
-                hashes = cache.of(words_of(text))
+                hashes = word_hashes(text)
                 rows.append((key, doc, len(hashes), None, None, None, None))
                 found = hits_of(hashes, window, gram, short, lambda fps: passes(bits, fps))
                 rows += [(key, doc, None, *hit) for hit in found]

@@ -24,11 +24,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.llm.common import (
-    WordHashes,
+    chunks,
     arrow_schema,
     gram_hashes,
     materialize,
@@ -36,7 +37,7 @@ from txnlens.llm.common import (
     record_batch,
     row_key,
     table,
-    words_of,
+    word_hashes,
 )
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -48,9 +49,9 @@ SPARE = 2.0
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def shingles(words: list[bytes], cache: WordHashes, k: int = SHINGLE) -> np.ndarray:
+def shingles(words: np.ndarray, k: int = SHINGLE) -> np.ndarray:
     """Hashes of all runs of k words, repeats included; a shorter text is one shingle."""
-    return gram_hashes(cache.of(words), min(k, len(words))) if words else np.empty(0, np.uint64)
+    return gram_hashes(words, min(k, len(words))) if len(words) else np.empty(0, np.uint64)
 
 
 def _uniform(x: np.ndarray) -> np.ndarray:
@@ -58,40 +59,49 @@ def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 1.0) * 2.0**-53
 
 
-def throw_darts(elements: np.ndarray, weights: np.ndarray, most_rank: float) -> tuple[np.ndarray, np.ndarray]:
-    """(rank, hash) of the darts up to a rank that hit the elements' weights."""
+def throw_darts(elements: np.ndarray, weights: np.ndarray, most: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(set, rank, hash) of the darts that hit the elements' weights, up to a rank per element; ``of``: an element's set."""
     units = np.ceil(weights).astype(np.int64)
-    of = np.repeat(np.arange(len(elements)), units)
-    unit = np.arange(len(of)) - np.repeat(np.cumsum(units) - units, units)
-    state = mix64(elements[of] + mix64(unit.astype(np.uint64) * _GOLD))
-    part = weights[of] - unit
+    at = np.repeat(np.arange(len(elements)), units)
+    unit = np.arange(len(at)) - np.repeat(np.cumsum(units) - units, units)
+    state = mix64(elements[at] + mix64(unit.astype(np.uint64) * _GOLD))
+    part, most, of = weights[at] - unit, most[at], of[at]
     rank = np.zeros(len(state))
-    ranks, darts = [], []
+    found = []
     while len(state):
         state = mix64(state + _GOLD)
         rank = rank - np.log(_uniform(state))
-        near = rank <= most_rank
-        state, rank, part = state[near], rank[near], part[near]
-        hit = _uniform(mix64(state ^ _GOLD)) <= part
-        ranks.append(rank[hit])
-        darts.append(state[hit])
-    return (np.concatenate(ranks), np.concatenate(darts)) if ranks else (np.empty(0), np.empty(0, np.uint64))
-
-
-def dart_signature(elements: np.ndarray, weights: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
-    """The earliest dart of each coordinate, for different elements of positive weight; empty for none."""
-    total = float(weights.sum())
-    if not total > 0:
-        return np.empty(0, np.uint64)
-    most_rank = size * (math.log(size) + SPARE) / total
-    while True:
-        ranks, darts = throw_darts(elements, weights, most_rank)
-        place = (mix64(darts) % np.uint64(size)).astype(np.int64)
-        order = np.lexsort((darts, ranks, place))
+        near = rank <= most
+        state, rank, part, most, of = state[near], rank[near], part[near], most[near], of[near]
+        hit = (part >= 1) | (_uniform(mix64(state ^ _GOLD)) <= part)
+        found.append((of[hit], rank[hit], state[hit]))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def dart_signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int = BANDS * ROWS) -> np.ndarray:
+    """The earliest dart of each coordinate, a row per set of different elements and their positive weights.
+
+    Darts of many sets are thrown together; a set that has an empty coordinate
+    goes on to the next round alone.
+    """
+    out = np.zeros((len(sets), size), np.uint64)
+    totals = np.array([float(w.sum()) for _, w in sets])
+    ranks = size * (math.log(size) + SPARE) / totals
+    todo = np.arange(len(sets))
+    while len(todo):
+        lengths = [len(sets[i][0]) for i in todo]
+        of = np.repeat(todo, lengths)
+        elements, weights = (np.concatenate([sets[i][k] for i in todo]) for k in (0, 1))
+        owner, rank, dart = throw_darts(elements, weights.astype(np.float64), ranks[of], of)
+        place = owner * size + (mix64(dart) % np.uint64(size)).astype(np.int64)
+        order = np.lexsort((dart, rank, place))
         place, first = np.unique(place[order], return_index=True)
-        if len(place) == size:
-            return darts[order][first]
-        most_rank *= 2
+        filled = np.bincount(place // size, minlength=len(sets)) == size
+        whole = filled[place // size]
+        out.reshape(-1)[place[whole]] = dart[order][first][whole]
+        todo = todo[~filled[todo]]
+        ranks[todo] *= 2
+    return out
 
 
 def band_keys(signature: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -112,25 +122,27 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (int(m.sum()) + int(n.sum()) - shared)
 
 
+def _signed(words: np.ndarray) -> int:
+    """A signed 64-bit hash of a sequence of words."""
+    return xxhash.xxh64_intdigest(words.tobytes()) - (1 << 63)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """(row_key, doc_id, node, bands): ``node`` is a hash of the words, null without any, and ``bands`` their buckets."""
     schema = "row_key long, doc_id long, node long, bands array<long>"
     arrow = arrow_schema(schema)
 
     def run(batches):
-        cache = WordHashes()
         for batch in batches:
-            rows = []
-            for key, doc, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = words_of(text)
-                if not words:
-                    rows.append((key, doc, None, []))
-                    continue
-                runs = shingles(words, cache)
-                node = int(gram_hashes(cache.of(words), len(words)).view(np.int64)[0])
-                elements, weights = np.unique(runs, return_counts=True)
-                rows.append((key, doc, node, band_keys(dart_signature(elements, weights.astype(np.float64)))))
-            yield record_batch(rows, arrow)
+            keys, ids, texts = (batch.column(i).to_pylist() for i in range(3))
+            for start, end in chunks(texts):
+                words = [word_hashes(x) for x in texts[start:end]]
+                full = [i for i, x in enumerate(words) if len(x)]
+                sets = [np.unique(shingles(words[i]), return_counts=True) for i in full]
+                rows = [(key, doc, None, []) for key, doc in zip(keys[start:end], ids[start:end], strict=True)]
+                for i, signature in zip(full, dart_signatures(sets) if sets else (), strict=True):
+                    rows[i] = (*rows[i][:2], _signed(words[i]), band_keys(signature))
+                yield record_batch(rows, arrow)
 
     return docs.select(row_key(), F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
@@ -141,14 +153,13 @@ def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     arrow = arrow_schema(schema)
 
     def run(batches):
-        cache = WordHashes()
         kept: tuple = (None, None)
         for batch in batches:
             rows = []
             for a, b, x, y in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if kept[0] != b:
-                    kept = b, shingles(words_of(y), cache)
-                rows.append((a, b, similarity(shingles(words_of(x), cache), kept[1])))
+                    kept = b, shingles(word_hashes(y))
+                rows.append((a, b, similarity(shingles(word_hashes(x)), kept[1])))
             yield record_batch(rows, arrow)
 
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
