@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from txnlens.llm import decontamination, dedup, mixing, sharding
+import corpus_pipeline
+from txnlens.llm import decontamination, dedup, language, mixing, quality, sharding
 
 
 def queries() -> dict:
     return {
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_near_duplicates": dedup.op2_near_duplicates,
+        "op3_language": language.op3_language,
+        "op4_quality": quality.op4_quality,
         "op5_mixing": mixing.op5_mixing,
         "op9_sharding": sharding.op9_sharding,
+        "pipeline": corpus_pipeline.run,
     }
 
 
