@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txnlens.llm import decontamination, dedup, language, mixing, quality, sharding
+from txnlens.llm import decontamination, dedup, language, lm, mixing, quality, sharding
 
 
 def queries() -> dict:
@@ -13,6 +13,7 @@ def queries() -> dict:
         "op3_language": language.op3_language,
         "op4_quality": quality.op4_quality,
         "op5_mixing": mixing.op5_mixing,
+        "op7_lm_scores": lm.op7_lm_scores,
         "op9_sharding": sharding.op9_sharding,
         "pipeline": corpus_pipeline.run,
     }
