@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txnlens.llm import decontamination, dedup, language, lm, mixing, quality, sharding
+from txnlens.llm import chat, decontamination, dedup, language, lm, mixing, neighbours, quality, sharding
 
 
 def queries() -> dict:
@@ -13,8 +13,10 @@ def queries() -> dict:
         "op3_language": language.op3_language,
         "op4_quality": quality.op4_quality,
         "op5_mixing": mixing.op5_mixing,
+        "op6_chat": chat.op6_chat,
         "op7_lm_scores": lm.op7_lm_scores,
         "op9_sharding": sharding.op9_sharding,
+        "op10_nearest": neighbours.op10_nearest,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -23,5 +25,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": decontamination.oracle(),
         "op5_mixing": mixing.oracle(),
+        "op6_chat": chat.oracle(),
         "op9_sharding": sharding.oracle(),
     }
