@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from txnlens.llm import chat, decontamination, dedup, language, lm, mixing, neighbours, quality, sharding
+from txnlens.llm import chat, decontamination, dedup, language, lm, mixing, neighbours, quality, sharding, urls
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op5_mixing": mixing.op5_mixing,
         "op6_chat": chat.op6_chat,
         "op7_lm_scores": lm.op7_lm_scores,
+        "op8_urls": urls.op8_urls,
         "op9_sharding": sharding.op9_sharding,
         "op10_nearest": neighbours.op10_nearest,
         "pipeline": corpus_pipeline.run,
