@@ -65,16 +65,17 @@ def throw_darts(elements: np.ndarray, weights: np.ndarray, most: np.ndarray, of:
     at = np.repeat(np.arange(len(elements)), units)
     unit = np.arange(len(at)) - np.repeat(np.cumsum(units) - units, units)
     state = mix64(elements[at] + mix64(unit.astype(np.uint64) * _GOLD))
-    part, most, of = weights[at] - unit, most[at], of[at]
-    rank = np.zeros(len(state))
+    part = None if (units == weights).all() else weights[at] - unit  # of the region that the weight fills
+    most, of = most[at], of[at]
+    rank, i = np.zeros(len(state)), np.arange(len(state))
     found = []
     while len(state):
         state = mix64(state + _GOLD)
         rank = rank - np.log(_uniform(state))
-        near = rank <= most
-        state, rank, part, most, of = state[near], rank[near], part[near], most[near], of[near]
-        hit = (part >= 1) | (_uniform(mix64(state ^ _GOLD)) <= part)
-        found.append((of[hit], rank[hit], state[hit]))
+        near = np.flatnonzero(rank <= most[i])
+        state, rank, i = state[near], rank[near], i[near]
+        hit = slice(None) if part is None else (part[i] >= 1) | (_uniform(mix64(state ^ _GOLD)) <= part[i])
+        found.append((of[i[hit]], rank[hit], state[hit]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -94,11 +95,11 @@ def dart_signatures(sets: list[tuple[np.ndarray, np.ndarray]], size: int = BANDS
         elements, weights = (np.concatenate([sets[i][k] for i in todo]) for k in (0, 1))
         owner, rank, dart = throw_darts(elements, weights.astype(np.float64), ranks[of], of)
         place = owner * size + (mix64(dart) % np.uint64(size)).astype(np.int64)
-        order = np.lexsort((dart, rank, place))
-        place, first = np.unique(place[order], return_index=True)
-        filled = np.bincount(place // size, minlength=len(sets)) == size
-        whole = filled[place // size]
-        out.reshape(-1)[place[whole]] = dart[order][first][whole]
+        late_first = np.argsort(rank)[::-1]  # so that the earliest dart of a coordinate is written last
+        out.reshape(-1)[place[late_first]] = dart[late_first]
+        seen = np.zeros(out.size, bool)
+        seen[place] = True
+        filled = seen.reshape(out.shape).all(axis=1)
         todo = todo[~filled[todo]]
         ranks[todo] *= 2
     return out
