@@ -220,7 +220,7 @@ def score_texts(docs: DataFrame, *, order: int = ORDER, block_chars: int = BLOCK
         )
 
     asked = blocked.groupBy("block").applyInPandas(ask, "block long, part long, keys binary, counts binary")
-    answered = asked.groupBy("part").applyInPandas(answer, "block long, part long, counts binary")
+    answered = asked.repartition(n, "part").groupBy("part").applyInPandas(answer, "block long, part long, counts binary")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return blocked.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, schema)
 
