@@ -2,11 +2,35 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 import corpus_pipeline
+from pyspark.sql import DataFrame, SparkSession
+
 from txnlens.llm import chat, decontamination, dedup, language, lm, mixing, neighbours, quality, sharding, urls
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: importable(query) for name, query in _queries().items()}
+
+
+def importable(query: Callable) -> Callable:
+    """Lets Python workers on this machine import the package; on a cluster, --py-files does that."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        environment = spark.sparkContext.environment
+        known = environment.get("PYTHONPATH", "")
+        if ROOT not in known.split(os.pathsep):
+            environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, known]))
+        return query(spark, sf_dir)
+
+    return run
+
 
-def queries() -> dict:
+def _queries() -> dict:
     return {
         "op1_decontamination": decontamination.op1_decontamination,
         "op2_near_duplicates": dedup.op2_near_duplicates,
