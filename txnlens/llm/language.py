@@ -197,7 +197,7 @@ def label_texts(model: Model, texts: list[str | None], penalty: float = PENALTY)
     changes = np.ones(len(label), bool)
     changes[1:] = (label[1:] != label[:-1]) | (words.text[1:] != words.text[:-1])
     begin = np.flatnonzero(changes)
-    last = np.append(begin[1:], len(label)) - 1
+    last = np.append(begin, len(label))[1:] - 1
     spans: list[list[dict]] = [[] for _ in texts]
     ends = words.start + words.n_letters
     for b, e in zip(begin.tolist(), last.tolist(), strict=True):
