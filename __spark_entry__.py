@@ -20,7 +20,7 @@ from txnlens.fixtures import transactions_from_events  # noqa: E402
 from txnlens.functions.cells import cell_map, row_key  # noqa: E402
 from txnlens.operators import bursts, cleaning, quality, sliding, summary  # noqa: E402
 from txnlens.plans import reports, suite, transform  # noqa: E402
-from txnlens.schema import ALERT_COLUMNS, REPORT_TABLES, layout  # noqa: E402
+from txnlens.schema import ALERT_COLUMNS, REJECTED_TABLE, REPORT_TABLES, layout  # noqa: E402
 from txnlens.session import scratch_dir  # noqa: E402
 from txnlens.sinks import alerts as alert_table  # noqa: E402
 from txnlens.sinks import tables  # noqa: E402
@@ -153,15 +153,24 @@ def table_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.table_partitions(spark, "transactions", db).select(value.alias("channel"))
 
 
-def built_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV to raw and clean table; the clean one."""
+def built(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """CSV to raw, clean and rejected table; one of them."""
     location = scratch_dir(spark, "build")
     db = "txnlens_" + location.rsplit("-", 1)[1]
     out = with_gaps(spark, sf_dir).withColumn("txn_timestamp", F.col("txn_timestamp").cast("string"))
     out.withColumnRenamed("txn_timestamp", "timestamp").write.csv(f"{location}/csv", header=True)
     tables.create_database(spark, db, f"{location}/db")
     transform.build_tables(spark, f"{location}/csv", db=db, location=location)
-    return without_zone(catalog.load_table(spark, "transactions", db))
+    return catalog.load_table(spark, table, db)
+
+
+def built_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_zone(built(spark, sf_dir, "transactions"))
+
+
+def built_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejected = built(spark, sf_dir, REJECTED_TABLE)
+    return rejected.groupBy(F.col("quarantine_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def report_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +204,12 @@ def alert_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells
 
 
+def alert_cells_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts of up to a billion, whose texts have no exponent."""
+    large = alerts(spark, sf_dir).withColumn("amount", F.col("amount") * 1_000_000)
+    return large.select(row_key().alias("row_key"), cell_map()["info:amount"].alias("value"))
+
+
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five screenings of all rows at ever lower amounts, so that keys get one to five versions."""
     path = scratch_dir(spark, "alerts")
@@ -308,6 +323,7 @@ def core_queries() -> dict[str, Query]:
         "table_roundtrip": table_roundtrip,
         "table_partitions": table_partitions,
         "built_tables": built_tables,
+        "built_rejected": built_rejected,
         "distinct_channels": on(clean, summary.distinct_channels),
         "channel_sets": on(clean, summary.channel_sets),
         "describe_amount": on(raw, summary.describe_amount),
@@ -318,6 +334,7 @@ def core_queries() -> dict[str, Query]:
         "sliding_windows": on(withdrawals, sliding.sliding_windows, window=WINDOW, slide=SLIDE),
         "sliding_alerts": on(withdrawals, sliding.sliding_alerts, window=WINDOW, slide=SLIDE),
         "alert_cells": alert_cells,
+        "alert_cells_large": alert_cells_large,
         "alert_versions": on(stored_alerts, alert_table.alert_versions),
         "alert_latest": on(stored_alerts, alert_table.latest_alerts),
         "alert_history": alert_history,
@@ -516,6 +533,7 @@ def core_sql() -> dict[str, str]:
             f"lower(channel) AS channel, status, {DERIVED} FROM gaps WHERE txn_timestamp IS NOT NULL "
             "AND amount IS NOT NULL AND channel IS NOT NULL AND status <> 'failed'",
         ),
+        "built_rejected": q(GAPS, f"SELECT * FROM ({gap_reasons('gaps')}) WHERE reason <> 'valid'"),
         "distinct_channels": q(CLEAN, "SELECT DISTINCT channel FROM clean"),
         "channel_sets": q(
             CLEAN,
@@ -553,6 +571,10 @@ def core_sql() -> dict[str, str]:
                 for c in ALERT_COLUMNS
             ),
         ),
+        "alert_cells_large": q(
+            ALERTS,
+            "SELECT customer_id || '_' || transaction_id AS row_key, CAST(amount * 1000000 AS VARCHAR) AS value FROM alerts",
+        ),
         "alert_versions": q(STORED, "SELECT * FROM versions"),
         "alert_latest": q(STORED, "SELECT * EXCLUDE (version) FROM versions WHERE version = 1"),
         "alert_history": q(

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows, txn
+from txnlens.functions.cells import amount_text
 from txnlens.functions.money import exact_sum, rounded
 from txnlens.operators.cleaning import clean_transactions, derive, normalize
 from txnlens.plans import reports, suite
@@ -150,3 +151,33 @@ def test_reports_from_rollups_equal_single_reports(spark, frame):
         assert rows(report) == rows(getattr(reports, name)(source)), name
     total = sum(r[3] for r in rows(built["monthly_volume"]))
     assert total == pytest.approx(sum(r[2] for r in rows(built["daily_volume"])))
+
+
+def test_amounts_of_any_size_can_be_summed(spark):
+    def total(*amounts, parts=1):
+        df = spark.createDataFrame([(float(a),) for a in amounts], "amount double").repartition(parts)
+        return df.agg(exact_sum("amount")).first()[0]
+
+    assert total(9e16, 9e16) == 18 * 10**16
+    assert total(1e30, 1) == 10**30 + 1
+    assert total(1e35) is None
+    assert total(float("nan"), 1) is None
+    assert total(*[0.0000004] * 10) == 0
+    fine = [1.23456789, 0.0000016, 99999.999999, -3.3333339]
+    assert {str(total(*fine, parts=n)) for n in (1, 3, 16)} == {"99997.901235"}
+
+
+def test_last_week_counts_all_channels_of_the_table(frame):
+    rows_ = [txn(1, ts="2024-01-01 10:00:00", channel="branch")]
+    rows_ += [txn(2, ts="2024-03-01 10:00:00", channel="atm"), txn(3, ts="2024-03-01 11:00:00", channel="online")]
+    df = frame(rows_)
+    as_of = F.lit("2024-03-01 12:00:00").cast("timestamp")
+    assert reports.all_channels_in_week(df, as_of=as_of).count() == 0
+    two = df.where("channel <> 'branch'").select("channel")
+    assert reports.all_channels_in_week(df, as_of=as_of, channels=two).count() == 1
+
+
+def test_amount_texts_have_no_exponent(spark):
+    df = spark.createDataFrame([(x,) for x in (1e7, 12345678.5, 0.0001, 450.0, 0.25, -1e7)], "amount double")
+    got = [r[0] for r in df.select(amount_text(F.col("amount"))).collect()]
+    assert got == ["10000000.0", "12345678.5", "0.0001", "450.0", "0.25", "-10000000.0"]

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from txnlens.operators.bursts import large_withdrawals
 from txnlens.operators.cleaning import normalize
 from txnlens.plans.suite import run_reports
 from txnlens.plans.transform import build_tables
+from txnlens.schema import REJECTED_TABLE
 from txnlens.session import build_session
 from txnlens.sinks.alerts import latest_alerts, read_alerts
 from txnlens.sources.lines import parse_lines
@@ -25,7 +27,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
     transform = runs.add_parser("transform", help="CSV files to the raw and the clean table")
     transform.add_argument("--csv", required=True)
-    transform.add_argument("--quarantine-table")
+    transform.add_argument("--quarantine-table", default=REJECTED_TABLE, help="table of the rejected records")
+    transform.add_argument("--keep-incomplete", action="store_true", help="leave rejected records in the raw table too")
 
     reports = runs.add_parser("reports", help="all report tables from the saved tables")
     reports.add_argument("--mode", choices=["overwrite", "append"], default="overwrite")
@@ -44,7 +47,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     alerts.add_argument("--per-batch", type=int, help="at most so many messages (Kafka) or files per micro-batch")
     alerts.add_argument("--drain", action="store_true", help="take what is there and end")
 
-    scan = runs.add_parser("scan", help="show current alerts")
+    scan = runs.add_parser("scan", help="print all current alerts, or write them")
+    scan.add_argument("--out", help="folder to write them to as Parquet instead")
     for run in (alerts, scan):
         run.add_argument("--alerts", required=True, help="folder of the alert table")
     args = parser.parse_args(argv)
@@ -53,6 +57,15 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
+def scan_alerts(alerts: DataFrame, out: str | None = None) -> None:
+    """Every alert, as a line of JSON each (read a partition at a time), or written to ``out``."""
+    if out:
+        alerts.write.parquet(out)
+        return
+    for row in alerts.select(F.to_json(F.struct("*")).alias("line")).toLocalIterator():
+        print(row["line"])
+
+
 def read_large_splits(spark: SparkSession) -> None:
     """Fewer, larger files: a task writes one per channel, so it should read much."""
     size = "spark.sql.files.maxPartitionBytes"
@@ -66,7 +79,12 @@ def main(argv: list[str] | None = None) -> None:
     if args.run == "transform":
         read_large_splits(spark)
         build_tables(
-            spark, args.csv, db=args.db, location=args.location, quarantine_table=args.quarantine_table
+            spark,
+            args.csv,
+            db=args.db,
+            location=args.location,
+            quarantine_table=args.quarantine_table,
+            keep_incomplete=args.keep_incomplete,
         )
     elif args.run == "reports":
         run_reports(spark, db=args.db, location=args.location, mode=args.mode)
@@ -83,7 +101,7 @@ def main(argv: list[str] | None = None) -> None:
             query = start(rows, burst_handler(args.alerts), args.checkpoint, drain=args.drain)
         query.awaitTermination()
     else:
-        latest_alerts(read_alerts(spark, args.alerts)).show(truncate=False)
+        scan_alerts(latest_alerts(read_alerts(spark, args.alerts)), args.out)
 
 
 if __name__ == "__main__":

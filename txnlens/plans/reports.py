@@ -142,16 +142,17 @@ def all_channels_in_week(
 
     Windows are counted from 1970-01-01. With ``as_of`` there is one window, the
     one that ends at that time. ``channels`` names the channels that count, by
-    default all in ``clean``; their number is a scalar subquery of the same job.
+    default all in ``clean``, in whatever window; their number is a scalar subquery of the same job.
     """
+    in_use = (clean if channels is None else channels).agg(F.count_distinct("channel")).scalar()
+    if channels is not None:
+        clean = clean.join(F.broadcast(channels.select("channel").distinct()), "channel", "left_semi")
     if as_of is None:
         start = F.window("txn_timestamp", window).getField("start")
     else:
         at = F.col("txn_timestamp")
         clean = clean.where((at > as_of - interval(window)) & (at <= as_of))
         start = F.lit(0)
-    channels = clean if channels is None else channels
-    in_use = channels.agg(F.count_distinct("channel")).scalar()
     return (
         clean.select("customer_id", "channel", start.alias("window_start"))
         .distinct()

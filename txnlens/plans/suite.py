@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from txnlens.functions.money import exact_sum, mean_of, rounded
 from txnlens.plans import reports
 from txnlens.schema import CLEAN_TABLE, RAW_TABLE, REPORT_TABLES, WITHDRAWAL
+from txnlens.session import require_utc
 from txnlens.sinks.tables import create_database, save_table
 from txnlens.sources.catalog import load_table
 
@@ -82,13 +83,18 @@ def run_reports(
     A rerun replaces them; ``mode='append'`` adds to them. ``at_once`` reports run
     together, so that executors do not idle at the end of each.
     """
+    require_utc(spark)
     create_database(spark, db)
     raw, clean = load_table(spark, RAW_TABLE, db), load_table(spark, CLEAN_TABLE, db)
     customers, times = customer_rollup(clean).persist(), time_rollup(clean).persist()
     built = build_reports(raw, clean, customers, times)
 
     def write(name: str) -> str:
-        save_table(built[name], REPORT_TABLES[name], db=db, location=location, mode=mode)
+        try:
+            save_table(built[name], REPORT_TABLES[name], db=db, location=location, mode=mode)
+        except Exception as error:
+            error.add_note(f"report {name} was not written")
+            raise
         return REPORT_TABLES[name]
 
     try:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from txnlens.operators.cleaning import clean, normalize
-from txnlens.operators.quality import drop_incomplete, split_valid
-from txnlens.schema import CLEAN_TABLE, CORRUPT, RAW_TABLE
+from txnlens.operators.quality import split_valid
+from txnlens.schema import CLEAN_TABLE, CORRUPT, RAW_TABLE, REJECTED_TABLE
+from txnlens.session import require_utc
 from txnlens.sinks.tables import create_database, save_table
 from txnlens.sources.catalog import load_table
 from txnlens.sources.files import read_transactions
@@ -18,7 +19,7 @@ def build_tables(
     *,
     db: str,
     location: str,
-    quarantine_table: str | None = None,
+    quarantine_table: str | None = REJECTED_TABLE,
     keep_incomplete: bool = False,
     **read_options,
 ) -> None:
@@ -26,10 +27,11 @@ def build_tables(
 
     The text is parsed once: the clean table is derived from the raw one, whose
     columns are pruned and whose status filter reaches the Parquet scan. Records
-    that are not complete are left out of both, or kept in the raw table with
-    ``keep_incomplete``; ``quarantine_table`` keeps them, with their reasons, at
-    the cost of another pass over the text.
+    that are not valid go to ``quarantine_table`` with their reasons, and into the
+    raw table as well with ``keep_incomplete``; the clean table is the same either
+    way. The rejects take another pass over the text; None leaves them out.
     """
+    require_utc(spark)
     create_database(spark, db)
     records = read_transactions(spark, csv_path, **read_options)
     valid, quarantined = split_valid(records)
@@ -48,4 +50,4 @@ def build_tables(
 
 def clean_from_raw(raw: DataFrame, has_incomplete: bool = False) -> DataFrame:
     """The clean table from the saved raw one."""
-    return clean(drop_incomplete(raw) if has_incomplete else raw)
+    return clean(split_valid(raw)[0] if has_incomplete else raw)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 # Names, texts and thresholds that have to be exactly these.
 RAW_TABLE = "raw_transactions"
 CLEAN_TABLE = "transactions"
-ALERT_TABLE = "suspicious_transaction"
+REJECTED_TABLE = "rejected_transactions"
 REPORT_TABLES = {
     "top_customers": "top_five_customers",
     "top_withdrawal_customer": "customer_with_highest_total_withdrawal",

@@ -34,11 +34,3 @@ def read_line_files(spark: SparkSession, path: str, *, files_per_batch: int | No
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.text(path)
-
-
-def read_parquet_stream(spark: SparkSession, path: str, *, files_per_batch: int | None = None) -> DataFrame:
-    """Rows of the Parquet files that arrive in a folder, oldest file first."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
