@@ -231,10 +231,15 @@ def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- streams
 
 
-def message_folder(spark: SparkSession, sf_dir: str) -> str:
-    """All transactions as CSV messages in text files."""
+def message_folder(spark: SparkSession, sf_dir: str, spoil: bool = False) -> str:
+    """All transactions as CSV messages in text files; spoilt, some amounts are text and some dates far ahead."""
     path = scratch_dir(spark, "messages")
     rows = cleaning.derive(raw(spark, sf_dir)).withColumn("txn_timestamp", F.col("txn_timestamp").cast("string"))
+    if spoil:
+        n = F.col("transaction_id")
+        bad = {"amount": (19, "n/a"), "txn_timestamp": (23, "2999-01-01 00:00:00")}
+        texts = {c: F.when(n % k == 0, F.lit(text)).otherwise(F.col(c).cast("string")) for c, (k, text) in bad.items()}
+        rows = rows.withColumns(texts)
     rows.select(F.to_csv(F.struct(*layout("stream").names)).alias("value")).write.text(path)
     return path
 
@@ -251,6 +256,16 @@ def stream_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(spark.read.parquet(f"{path}/rows"))
 
 
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per reason of the spoilt messages."""
+    messages = streams.read_line_files(spark, message_folder(spark, sf_dir, spoil=True))
+    _, rejected = quality.split_valid(lines.parse_lines(messages, "stream", keep_corrupt=True), ahead="1 day")
+    path = scratch_dir(spark, "rejects")
+    runner.start_parquet(rejected, f"{path}/rows", f"{path}/checkpoint", drain=True).awaitTermination()
+    stored = spark.read.parquet(f"{path}/rows")
+    return stored.groupBy(F.col("quarantine_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def stream_alerts_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files arrive in one micro-batch."""
     stream = message_stream(spark, message_folder(spark, sf_dir))
@@ -327,6 +342,7 @@ def core_queries() -> dict[str, Query]:
         "distinct_channels": on(clean, summary.distinct_channels),
         "channel_sets": on(clean, summary.channel_sets),
         "describe_amount": on(raw, summary.describe_amount),
+        "describe_columns": on(clean, summary.describe_columns, columns=DESCRIBED),
         "fraud_windows": on(withdrawals, bursts.fraud_windows, window=WINDOW),
         "fraud_alerts": alerts,
         "fraud_alerts_reason": on(alerts, bursts.with_reasons, window=WINDOW),
@@ -339,11 +355,13 @@ def core_queries() -> dict[str, Query]:
         "alert_latest": on(stored_alerts, alert_table.latest_alerts),
         "alert_history": alert_history,
         "stream_parse": stream_parse,
+        "stream_rejects": stream_rejects,
         "stream_alerts_per_batch": stream_alerts_per_batch,
         "stream_alerts_stateful": stream_alerts_stateful,
     }
 
 
+DESCRIBED = ["amount", "txn_day", "txn_hour", "high_value_flag"]
 ROLLUP_REPORTS = [
     "top_customers",
     "top_withdrawal_customer",
@@ -545,6 +563,14 @@ def core_sql() -> dict[str, str]:
             f"SELECT count(amount) AS n, {MEAN} AS mean, round(stddev_samp(amount), 4) AS stddev, "
             "min(amount) AS min, max(amount) AS max FROM raw",
         ),
+        "describe_columns": q(
+            CLEAN,
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS field, count({c}) AS n, {MEAN.replace('amount', c)} AS mean, round(stddev_samp({c}), 4) "
+                f"AS stddev, CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM clean"
+                for c in DESCRIBED
+            ),
+        ),
         "fraud_windows": q(FLAGGED, "SELECT * FROM flagged"),
         "fraud_alerts": q(ALERTS, alert + "alerts"),
         "fraud_alerts_reason": q(
@@ -583,6 +609,12 @@ def core_sql() -> dict[str, str]:
             "string_agg(transaction_count, ',' ORDER BY version) AS counts FROM versions GROUP BY 1",
         ),
         "stream_parse": q(LARGE, f"SELECT * EXCLUDE (high_value_flag) FROM (SELECT *, {DERIVED} FROM large)"),
+        "stream_rejects": q(
+            RAW,
+            "SELECT concat_ws(',', CASE WHEN transaction_id % 19 = 0 THEN 'malformed,amount' END, "
+            "CASE WHEN transaction_id % 23 = 0 THEN 'future' END) AS reason, count(*) AS n FROM raw "
+            "WHERE transaction_id % 19 = 0 OR transaction_id % 23 = 0 GROUP BY 1",
+        ),
         "stream_alerts_per_batch": q(
             ALERTS,
             "SELECT customer_id || '_' || transaction_id AS row_key, max(transaction_count) AS transaction_count, "

@@ -149,10 +149,26 @@ def test_kafka_needs_its_package(spark):
         assert "value" in df.columns
 
 
+def test_command_line_sees_split_bursts_and_keeps_rejects(spark, tmp_path, folder, capsys):
+    future = message(9, 0).replace("2024", "2999")
+    folder.add(message(1, 10), message(2, 20), "2,x,yesterday", future)
+    folder.add(message(3, 30), message(4, 10, customer=2, amount=350.0))
+    folder.add(SENTINEL)
+    alerts = str(tmp_path / "alerts")
+    paths = ["--folder", str(folder.path), "--alerts", alerts, "--checkpoint", str(tmp_path / "c")]
+    main(["alerts", *paths, "--per-batch", "1", "--drain"])
+    assert rows(read_alerts(spark, alerts), "transaction_id") == [(1,), (2,), (3,)]
+    rejected = spark.read.parquet(f"{alerts}_rejected")
+    assert rows(rejected.where("quarantine_reason = 'future'"), "transaction_id") == [(9,)]
+    assert rejected.where("quarantine_reason LIKE 'malformed%'").count() == 1
+    assert rejected.count() == 2
+
+
 def test_command_line(spark, tmp_path, folder, capsys):
     folder.add(*[message(i, 10 + i, kind="Withdrawal") for i in range(3)])
     alerts = str(tmp_path / "alerts")
-    main(["alerts", "--folder", str(folder.path), "--alerts", alerts, "--checkpoint", str(tmp_path / "c"), "--per-batch", "5", "--drain"])
+    paths = ["--folder", str(folder.path), "--alerts", alerts, "--checkpoint", str(tmp_path / "c")]
+    main(["alerts", *paths, "--per-batch", "5", "--per-batch-only", "--drain"])
     main(["scan", "--alerts", alerts])
     assert "1_2" in capsys.readouterr().out
     with pytest.raises(SystemExit):

@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from txnlens.operators.bursts import large_withdrawals
 from txnlens.operators.cleaning import normalize
+from txnlens.operators.quality import split_valid
 from txnlens.plans.suite import run_reports
 from txnlens.plans.transform import build_tables
-from txnlens.schema import REJECTED_TABLE
-from txnlens.session import build_session
+from txnlens.schema import BURST_COUNT, BURST_SLIDE, BURST_WINDOW, LARGE_WITHDRAWAL, REJECTED_TABLE
+from txnlens.session import build_session, require_utc
 from txnlens.sinks.alerts import latest_alerts, read_alerts
 from txnlens.sources.lines import parse_lines
 from txnlens.sources.streams import read_kafka, read_line_files
 from txnlens.streaming.alerts import stateful_alerts
-from txnlens.streaming.runner import burst_handler, start, store_handler
+from txnlens.streaming.runner import burst_handler, start, start_parquet, store_handler
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -43,7 +44,21 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     alerts.add_argument("--topic")
     alerts.add_argument("--layout", choices=["raw", "clean", "stream"], default="stream")
     alerts.add_argument("--checkpoint", required=True)
-    alerts.add_argument("--stateful", action="store_true", help="see bursts across micro-batches")
+    alerts.add_argument(
+        "--per-batch-only",
+        action="store_true",
+        help="tumbling windows within each micro-batch; misses bursts that two batches share",
+    )
+    alerts.add_argument("--window", default=BURST_WINDOW)
+    alerts.add_argument("--slide", default=BURST_SLIDE, help="step of the windows; not with --per-batch-only")
+    alerts.add_argument("--delay", default=BURST_WINDOW, help="how late a message may be; not with --per-batch-only")
+    alerts.add_argument("--amount", type=float, default=LARGE_WITHDRAWAL, help="withdrawals above it count")
+    alerts.add_argument("--count", type=int, default=BURST_COUNT, help="alert if a window has more of them")
+    alerts.add_argument("--success-only", action="store_true", help="leave out failed withdrawals")
+    alerts.add_argument("--rejects", help="folder of the rejected messages, by default that of the alerts with _rejected")
+    alerts.add_argument("--ahead", default="1 day", help="messages dated further ahead of now are rejected")
+    alerts.add_argument("--starting-offsets", default="latest", help="where a new run starts in the topic")
+    alerts.add_argument("--every", help="start a micro-batch so often, such as '10 seconds'")
     alerts.add_argument("--per-batch", type=int, help="at most so many messages (Kafka) or files per micro-batch")
     alerts.add_argument("--drain", action="store_true", help="take what is there and end")
 
@@ -73,6 +88,33 @@ def read_large_splits(spark: SparkSession) -> None:
         spark.conf.set(size, "1g")
 
 
+def screen(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Alerts of the valid messages, and the rejected ones with their reasons, as two streams of one source."""
+    require_utc(spark)
+    if args.kafka:
+        limit = {"maxOffsetsPerTrigger": str(args.per_batch)} if args.per_batch else {}
+        lines = read_kafka(spark, args.kafka, args.topic, starting_offsets=args.starting_offsets, **limit)
+    else:
+        lines = read_line_files(spark, args.folder, files_per_batch=args.per_batch)
+    valid, rejected = split_valid(parse_lines(lines, args.layout, keep_corrupt=True), args.ahead)
+    rows = large_withdrawals(normalize(valid), args.amount, success_only=args.success_only)
+    pace = {"every": args.every, "drain": args.drain}
+    # Rejects start first: from the latest offsets on, they then miss no message that alerts see.
+    rejects = args.rejects or f"{args.alerts.rstrip('/')}_rejected"
+    running = [start_parquet(rejected, rejects, f"{args.checkpoint.rstrip('/')}_rejected", **pace)]
+    if args.per_batch_only:
+        handle = burst_handler(args.alerts, window=args.window, min_count=args.count)
+        running.append(start(rows, handle, args.checkpoint, **pace))
+    else:
+        found = stateful_alerts(rows, args.window, args.slide, args.count, delay=args.delay)
+        running.append(start(found, store_handler(args.alerts), args.checkpoint, **pace))
+    if args.drain:
+        for query in running:
+            query.awaitTermination()
+    else:
+        spark.streams.awaitAnyTermination()  # neither goes on without the other
+
+
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"txnlens-{args.run}", hive=args.hive)
@@ -89,17 +131,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.run == "reports":
         run_reports(spark, db=args.db, location=args.location, mode=args.mode)
     elif args.run == "alerts":
-        if args.kafka:
-            limit = {"maxOffsetsPerTrigger": str(args.per_batch)} if args.per_batch else {}
-            lines = read_kafka(spark, args.kafka, args.topic, **limit)
-        else:
-            lines = read_line_files(spark, args.folder, files_per_batch=args.per_batch)
-        rows = large_withdrawals(normalize(parse_lines(lines, args.layout)))
-        if args.stateful:
-            query = start(stateful_alerts(rows), store_handler(args.alerts), args.checkpoint, drain=args.drain)
-        else:
-            query = start(rows, burst_handler(args.alerts), args.checkpoint, drain=args.drain)
-        query.awaitTermination()
+        screen(spark, args)
     else:
         scan_alerts(latest_alerts(read_alerts(spark, args.alerts)), args.out)
 

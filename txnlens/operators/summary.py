@@ -1,22 +1,34 @@
-"""Summaries of single columns."""
+"""Summaries of columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnlens.functions.money import exact_sum, mean_of
 
 
+def _measures(value: Column) -> list[Column]:
+    return [
+        F.count(value).alias("n"),
+        mean_of(exact_sum(value), F.count(value)).alias("mean"),
+        F.round(F.stddev_samp(value), 4).alias("stddev"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+    ]
+
+
 def describe_amount(df: DataFrame, column: str = "amount") -> DataFrame:
     """Count, mean, standard deviation, least and greatest value, as one row."""
-    return df.agg(
-        F.count(column).alias("n"),
-        mean_of(exact_sum(column), F.count(column)).alias("mean"),
-        F.round(F.stddev_samp(column), 4).alias("stddev"),
-        F.min(column).alias("min"),
-        F.max(column).alias("max"),
-    )
+    return df.agg(*_measures(F.col(column)))
+
+
+def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same for several numeric columns as DOUBLE, a row per ``field``, by one aggregate over all rows."""
+    fields = [F.struct(F.lit(c).alias("field"), *_measures(F.col(c).cast("double"))) for c in columns]
+    return df.agg(F.array(*fields).alias("fields")).select(F.inline("fields"))
 
 
 def distinct_channels(df: DataFrame) -> DataFrame:

@@ -29,10 +29,16 @@ def start(
     return writer.start()
 
 
-def start_parquet(df: DataFrame, path: str, checkpoint: str, *, drain: bool = False) -> StreamingQuery:
+def start_parquet(
+    df: DataFrame, path: str, checkpoint: str, *, every: str | None = None, drain: bool = False
+) -> StreamingQuery:
     """Append the stream's rows to Parquet files."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if drain else writer).start()
+    if drain:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    return writer.start()
 
 
 def start_console(df: DataFrame, checkpoint: str, *, drain: bool = False) -> StreamingQuery:
