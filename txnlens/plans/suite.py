@@ -98,6 +98,8 @@ def run_reports(
         return REPORT_TABLES[name]
 
     try:
+        for rollup in (customers, times):  # before reports that share one start together
+            rollup.count()
         with ThreadPoolExecutor(at_once) as pool:
             return list(pool.map(write, built))
     finally:
