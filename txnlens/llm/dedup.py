@@ -13,7 +13,8 @@ probability of their similarity.
 
 Signatures are cut into bands; documents that share a band share a bucket. Copies
 that have the same words are one node. In each bucket, all nodes are compared with
-one pivot; nodes that this leaves in different components are compared with each
+one pivot; nodes outside the largest component then meet a few nodes of it, in rounds, for as
+long as many join it. What is left in different components is compared with each
 other, unless the triangle inequality (1 - similarity is a metric) rules it out by
 their distances to the pivot. Every pair of a bucket thus is compared, known to be
 connected, or known to be too far apart, and no list of a bucket is ever built.
@@ -25,7 +26,7 @@ import math
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnlens.llm.common import (
@@ -45,6 +46,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 #: Darts expected per coordinate beyond the logarithm of their number.
 SPARE = 2.0
+#: Nodes of a bucket's largest component that the others meet in a round; rounds end when one leaves more than SHRINKS.
+ANCHORS, SHRINKS = 16, 0.75
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -195,6 +198,36 @@ def components(edges: DataFrame) -> DataFrame:
         now = materialize(spark, small.filter("u <> v").distinct(), "edges")
 
 
+def mixed_buckets(members: DataFrame, compared: DataFrame, label: DataFrame) -> DataFrame:
+    """Buckets that hold several components still: each node with its distance to the bucket's pivot."""
+    to_pivot = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "similarity")
+    placed = (
+        members.join(to_pivot, ["node", "pivot"], "left")
+        .join(label, "node", "left")
+        .select(
+            "bucket",
+            "node",
+            F.coalesce("label", "node").alias("label"),
+            F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("similarity")).alias("far"),
+        )
+    )
+    sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("bucket").agg(
+        F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("parts")
+    )
+    found = placed.join(largest.filter("parts > 1").drop("parts"), "bucket")
+    return materialize(members.sparkSession, found, "mixed-buckets")
+
+
+def anchor_pairs(mixed: DataFrame, salt: int) -> DataFrame:
+    """(a, b): nodes outside their bucket's largest component with some nodes of it, others for each salt."""
+    order = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(salt)), "node")
+    main = mixed.filter("label = largest AND far > 0").withColumn("place", F.row_number().over(order))
+    anchors = main.filter(F.col("place") <= ANCHORS).select("bucket", F.col("node").alias("b"))
+    outside = mixed.filter("label <> largest AND far > 0").select("bucket", F.col("node").alias("a"))
+    return outside.join(anchors, "bucket").select("a", "b").distinct()
+
+
 def links(docs: DataFrame, rows: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """(node, label) of all nodes that are near-duplicates of another node."""
     spark = docs.sparkSession
@@ -213,22 +246,17 @@ def links(docs: DataFrame, rows: DataFrame, threshold: float = SIMILARITY) -> Da
     near = first.filter(F.col("similarity") >= threshold)
     label = components(near)
 
-    # Buckets that hold several components still: each node with its distance to the bucket's pivot.
-    placed = (
-        members.join(first.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "similarity"), ["node", "pivot"], "left")
-        .join(label, "node", "left")
-        .select(
-            "bucket",
-            "node",
-            F.coalesce("label", "node").alias("label"),
-            F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("similarity")).alias("far"),
-        )
-    )
-    sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(
-        F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("parts")
-    )
-    mixed = materialize(spark, placed.join(largest.filter("parts > 1").drop("parts"), "bucket"), "mixed-buckets")
+    before = None
+    while True:
+        mixed = mixed_buckets(members, first, label)
+        left = mixed.filter("label <> largest AND far > 0").count()
+        if not left or (before and left > SHRINKS * before):
+            break
+        before = left
+        pairs = anchor_pairs(mixed, left)
+        near = near.unionByName(materialize(spark, compare(pairs, texts), "compared").filter(F.col("similarity") >= threshold))
+        label = components(near)
+
     outside = mixed.filter("label <> largest AND far > 0").select(
         "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("far").alias("far_a")
     )
