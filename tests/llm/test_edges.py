@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
 from txnlens.llm import chat, decontamination, dedup, language, lm, mixing, neighbours, quality, sharding, urls
+from txnlens.llm.common import word_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, row_key string, node string"
 LONG = " ".join(f"word{i % 5000}" for i in range(40_000))
@@ -51,6 +53,38 @@ def test_decontamination(spark, docs, none):
     assert decontamination.decontaminate(none, items).isEmpty()
 
 
+def all_pairs_classes(texts: dict[int, str]) -> dict[int, int]:
+    sets = {d: dedup.shingles(word_hashes(t)) for d, t in texts.items()}
+    of = {d: d for d in texts}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if of[a] != of[b] and dedup.similarity(sets[a], sets[b]) >= dedup.SIMILARITY:
+            old, new = max(of[a], of[b]), min(of[a], of[b])
+            of = {d: new if c == old else c for d, c in of.items()}
+    return of
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_classes_of_a_group_around_the_threshold(spark, shared):
+    """Copies of copies with words replaced, dropped and repeated, or texts that share a passage, equal all pairs."""
+    rng = np.random.default_rng(7 + shared)
+    word = lambda: f"w{rng.integers(60 if not shared else 100_000)}"
+    texts = [[f"base{i % 70}" for i in range(100)]]
+    while len(texts) < 260:
+        if shared:
+            texts.append(texts[0][: rng.integers(50, 96)] + [word() for _ in range(rng.integers(3, 40))])
+            continue
+        text = list(texts[int(rng.integers(len(texts)) * rng.random() ** 2)])
+        for _ in range(rng.integers(1, 6)):
+            at = int(rng.integers(len(text)))
+            text[at : at + 1] = [[word()], [], [text[at]] * 2, [word(), text[at]]][rng.integers(4)]
+        texts.append(text)
+    texts = {i: " ".join(t) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    want = all_pairs_classes(texts)
+    assert len(set(want.values())) > 5
+    assert {r.doc_id: r.class_id for r in dedup.near_duplicates(docs).collect()} == want
+
+
 def test_near_duplicates(docs, none):
     got = sorted(((r.doc_id, r.class_id) for r in dedup.near_duplicates(docs).collect()), key=str)
     assert got == sorted([(1, 1), (1, 1), (2, 2), (3, 3), (4, 4), (None, None), (5, 5), (6, 5)], key=str)

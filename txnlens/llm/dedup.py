@@ -13,11 +13,13 @@ probability of their similarity.
 
 Signatures are cut into bands; documents that share a band share a bucket. Copies
 that have the same words are one node. In each bucket, all nodes are compared with
-one pivot; nodes outside the largest component then meet a few nodes of it, in rounds, for as
-long as many join it. What is left in different components is compared with each
-other, unless the triangle inequality (1 - similarity is a metric) rules it out by
-their distances to the pivot. Every pair of a bucket thus is compared, known to be
-connected, or known to be too far apart, and no list of a bucket is ever built.
+one pivot. Buckets with several components left are clusters by their largest one,
+and a cluster's nodes are compared with a central node of it. A pair that is still
+open has a node below the threshold to that centre; such a node differs from it by
+more than from a near-duplicate, so both differ from it in the same elements. These
+are joined by their rarest, by prefix and position, and what remains is compared. Every
+pair of a bucket thus is compared, known to be connected, or known to be too far
+apart, and no list of a bucket is ever built.
 """
 
 from __future__ import annotations
@@ -46,8 +48,6 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
 #: Darts expected per coordinate beyond the logarithm of their number.
 SPARE = 2.0
-#: Nodes of a bucket's largest component that the others meet in a round; rounds end when one leaves more than SHRINKS.
-ANCHORS, SHRINKS = 16, 0.75
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -198,34 +198,103 @@ def components(edges: DataFrame) -> DataFrame:
         now = materialize(spark, small.filter("u <> v").distinct(), "edges")
 
 
-def mixed_buckets(members: DataFrame, compared: DataFrame, label: DataFrame) -> DataFrame:
-    """Buckets that hold several components still: each node with its distance to the bucket's pivot."""
-    to_pivot = compared.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "similarity")
+def mixed_buckets(members: DataFrame, label: DataFrame) -> DataFrame:
+    """(cluster, node, label): nodes of buckets that hold several components beside the pivot; a cluster is a bucket's largest one."""
     placed = (
-        members.join(to_pivot, ["node", "pivot"], "left")
+        members.filter("node <> pivot")
         .join(label, "node", "left")
-        .select(
-            "bucket",
-            "node",
-            F.coalesce("label", "node").alias("label"),
-            F.when(F.col("node") == F.col("pivot"), 0.0).otherwise(1 - F.col("similarity")).alias("far"),
-        )
+        .select("bucket", "node", F.coalesce("label", "node").alias("label"))
     )
     sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(
-        F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("parts")
+        F.max(F.struct("n", "label")).getField("label").alias("cluster"), F.count(F.lit(1)).alias("parts")
     )
     found = placed.join(largest.filter("parts > 1").drop("parts"), "bucket")
-    return materialize(members.sparkSession, found, "mixed-buckets")
+    met = found.groupBy("cluster", "node", "label").agg(F.count(F.lit(1)).alias("met"))
+    return materialize(members.sparkSession, met, "clusters")
 
 
-def anchor_pairs(mixed: DataFrame, salt: int) -> DataFrame:
-    """(a, b): nodes outside their bucket's largest component with some nodes of it, others for each salt."""
-    order = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(salt)), "node")
-    main = mixed.filter("label = largest AND far > 0").withColumn("place", F.row_number().over(order))
-    anchors = main.filter(F.col("place") <= ANCHORS).select("bucket", F.col("node").alias("b"))
-    outside = mixed.filter("label <> largest AND far > 0").select("bucket", F.col("node").alias("a"))
-    return outside.join(anchors, "bucket").select("a", "b").distinct()
+def elements(words: np.ndarray) -> np.ndarray:
+    """The multiset of shingles as a sorted set: an element is a shingle and the number of its occurrence."""
+    found, counts = np.unique(shingles(words), return_counts=True)
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return np.sort(mix64(np.repeat(found, counts) + nth.astype(np.uint64) * _GOLD))
+
+
+def differences(clusters: DataFrame, texts: DataFrame) -> DataFrame:
+    """(cluster, node, pivot, size, similarity, diff): what a node's elements and those of its cluster's pivot don't share.
+
+    The pivot is the node of the cluster's own component that most of its buckets hold.
+    """
+    schema = "cluster long, node long, pivot long, size long, similarity double, diff array<long>"
+    arrow = arrow_schema(schema)
+
+    def run(batches):
+        kept: tuple = (None, None)
+        for batch in batches:
+            cluster, node, pivot, text, pivot_text = (batch.column(i).to_pylist() for i in range(5))
+            for start, end in chunks(text):
+                rows = []
+                for i in range(start, end):
+                    if kept[0] != pivot[i]:
+                        kept = pivot[i], elements(word_hashes(pivot_text[i]))
+                    own = elements(word_hashes(text[i]))
+                    diff = np.setxor1d(own, kept[1], assume_unique=True)
+                    shared = (len(own) + len(kept[1]) - len(diff)) // 2
+                    alike = shared / (shared + len(diff))
+                    rows.append((cluster[i], node[i], pivot[i], len(own), alike, diff.view(np.int64)))
+                yield record_batch(rows, arrow)
+
+    central = F.max(F.struct(F.expr("label = cluster").alias("own"), "met", "node")).getField("node").alias("pivot")
+    pivots = clusters.groupBy("cluster").agg(central).join(
+        texts.select(F.col("node").alias("pivot"), F.col("text").alias("pivot_text")), "pivot"
+    )
+    both = clusters.select("cluster", "node").join(texts, "node").join(pivots, "cluster")
+    return both.select("cluster", "node", "pivot", "text", "pivot_text").mapInArrow(run, schema)
+
+
+def open_pairs(diffs: DataFrame, label: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): pairs of a cluster that may be near-duplicates without being connected yet.
+
+    Let x be below the threshold t to the pivot, y near x, and D their differences to the pivot.
+    As x and y differ in what D(x) and D(y) don't share, which is at most (1 - t) of their union,
+    they share over t / (1 + t) of D(y), at least |D(x)| - (1 - t) / t |x|, and at least
+    half of |D(x)| + |D(y)| - (1 - t) / t min(|x|, |y|). So the first shared element, rare ones first,
+    lies within a prefix of both, and enough elements follow it.
+    """
+    slack, eps = (1 - threshold) / threshold, 1e-9
+    now = diffs.join(label, "node", "left").select(
+        "cluster", "node", "size", "diff", F.size("diff").alias("n"),
+        F.coalesce("label", "node").alias("label"), (F.col("similarity") < threshold).alias("outside"),
+    )
+    several = now.groupBy("cluster").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+    each = now.join(several.select("cluster"), "cluster").withColumn("element", F.explode("diff")).drop("diff")
+    held = each.groupBy("cluster", "element").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    order = Window.partitionBy("cluster", "node").orderBy(F.coalesce("held", F.lit(1)), "element")
+    ranked = each.join(held, ["cluster", "element"], "left").withColumn("at", F.row_number().over(order))
+    y_needs = F.floor(F.col("n") * (threshold / (1 + threshold)) - eps)
+    x_needs = F.greatest(F.lit(0), F.ceil(F.col("n") - F.col("size") * slack - eps) - 1)
+    ranked = ranked.filter("held > 1").withColumn("as_y", F.col("at") <= F.col("n") - y_needs)
+    ranked = ranked.withColumn("as_x", F.col("outside") & (F.col("at") <= F.col("n") - x_needs)).filter("as_x OR as_y")
+    ranked = materialize(diffs.sparkSession, ranked.drop("held", "outside"), "prefixes")
+
+    def side(role: str, s: str) -> DataFrame:
+        named = [F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "n", "label", "at")]
+        return ranked.filter(role).select("cluster", "element", *named)
+
+    needs = (F.col("n_a") + F.col("n_b") - F.least("size_a", "size_b") * slack) / 2 - eps
+    follow = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) + 1
+    found = side("as_x", "a").join(side("as_y", "b"), ["cluster", "element"]).filter((F.col("label_a") != F.col("label_b")) & (follow >= needs))
+    return found.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+
+
+def with_pivots(buckets: DataFrame) -> DataFrame:
+    """(bucket, node, pivot) of buckets with several nodes; the pivot is the node whose buckets hold most nodes in total."""
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = buckets.join(sizes, "bucket")
+    central = shared.join(shared.groupBy("node").agg(F.sum("n").alias("met")), "node")
+    pivots = central.groupBy("bucket").agg(F.max(F.struct("met", "node")).getField("node").alias("pivot"))
+    return shared.select("bucket", "node").join(pivots, "bucket")
 
 
 def links(docs: DataFrame, rows: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
@@ -234,9 +303,8 @@ def links(docs: DataFrame, rows: DataFrame, threshold: float = SIMILARITY) -> Da
     nodes = rows.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("row_key").alias("row_key"), F.first("bands").alias("bands")
     )
-    buckets = nodes.select(F.explode("bands").alias("bucket"), "node")
-    pivots = buckets.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = materialize(spark, buckets.join(pivots.drop("n"), "bucket"), "members")
+    buckets = materialize(spark, nodes.select(F.explode("bands").alias("bucket"), "node"), "buckets")
+    members = materialize(spark, with_pivots(buckets), "members")
     keys = nodes.select("node", "row_key").join(members.select("node").distinct(), "node")
     texts = docs.select(row_key(), "text").join(keys, "row_key").dropDuplicates(["node"]).select("node", "text")
     texts = materialize(spark, texts, "member-texts")
@@ -246,26 +314,12 @@ def links(docs: DataFrame, rows: DataFrame, threshold: float = SIMILARITY) -> Da
     near = first.filter(F.col("similarity") >= threshold)
     label = components(near)
 
-    before = None
-    while True:
-        mixed = mixed_buckets(members, first, label)
-        left = mixed.filter("label <> largest AND far > 0").count()
-        if not left or (before and left > SHRINKS * before):
-            break
-        before = left
-        pairs = anchor_pairs(mixed, left)
-        near = near.unionByName(materialize(spark, compare(pairs, texts), "compared").filter(F.col("similarity") >= threshold))
-        label = components(near)
-
-    outside = mixed.filter("label <> largest AND far > 0").select(
-        "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("far").alias("far_a")
-    )
-    others = mixed.filter("far > 0").select(
-        "bucket", F.col("node").alias("b"), "label", F.col("far").alias("far_b"), (F.col("label") == F.col("largest")).alias("main")
-    )
-    close = F.abs(F.col("far_a") - F.col("far_b")) <= 1 - threshold + 1e-9
-    open_pairs = outside.join(others, "bucket").filter(close & (F.col("label_a") != F.col("label")) & (F.col("main") | F.expr("a < b")))
-    rest = materialize(spark, compare(open_pairs.select("a", "b").distinct(), texts), "compared")
+    diffs = materialize(spark, differences(mixed_buckets(members, label), texts), "differences")
+    to_pivot = diffs.select(F.col("node").alias("a"), F.col("pivot").alias("b"), "similarity")
+    near = near.unionByName(to_pivot.filter((F.col("similarity") >= threshold) & F.expr("a <> b")))
+    label = components(near)
+
+    rest = materialize(spark, compare(open_pairs(diffs, label, threshold), texts), "compared")
     more = rest.filter(F.col("similarity") >= threshold)
     return label if more.isEmpty() else components(near.unionByName(more))
 
