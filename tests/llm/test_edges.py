@@ -232,6 +232,29 @@ def test_templates_with_blocked_labels_are_rejected(spark):
     assert {(r.template, r.verdict) for r in got} == {("/shop/{n}", "block"), ("/blog/{n}", "allow")}
 
 
+def verdicts(spark, paths, rules):
+    """(template, verdict) by path of the pages of x.de that no rule fits."""
+    df = spark.createDataFrame([(f"http://x.de{p}",) for p in paths], "url string").withColumn("page_id", F.monotonically_increasing_id())
+    return {r.path: (r.template, r.verdict) for r in urls.judge(df, rules).where("rule IS NULL").collect()}
+
+
+@pytest.mark.parametrize("n", [3, 6])
+def test_branches_without_labels_inherit_no_verdict(spark, n):
+    paths = [f"/{d}/{i}" for d, k in (("de", n), ("en", 40), ("fr", 2)) for i in range(k)]
+    got = verdicts(spark, paths, [("block", "x.de", "/de/")])
+    assert len(got) == 42 and set(got.values()) == {("/en/{n}", "allow"), ("/fr/{n}", "allow")}
+
+
+def test_only_templates_of_like_shares_are_merged(spark):
+    sections = {"a": 0, "b": 1, "c": 10, "d": 11, "e": 12, "f": 20, "g": 20}  # blocked of 20 labelled
+    paths = [f"/{d}/{i}" for d in sections for i in range(100, 140)]
+    rules = [("block" if i < 100 + n else "allow", "x.de", f"/{d}/{i}") for d, n in sections.items() for i in range(100, 120)]
+    got = verdicts(spark, paths, rules)
+    assert len(got) == 20 * len(sections)
+    want = {("/{a|b}/{n}", "allow"), ("/{c|d|e}/{n}", "block"), ("/{f|g}/{n}", "block")}
+    assert set(got.values()) == want
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=4).tolist(), 0.0) for i in range(30)]

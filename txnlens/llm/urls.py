@@ -2,11 +2,12 @@
 
 Fixed rules come first. Their verdicts are also the labels the rest is judged by.
 Per host, a path's segments are generalised level by level: a segment with a digit
-becomes ``{n}``; where a node has more than MOST_CHILDREN different segments below
-it, they all become ``*``. Then sibling branches are merged if their subtrees look
-alike (how deep they go, how variable they are) and their shares of blocked labels
-do not differ significantly. What is left are templates; one whose share of
-blocked labels, smoothed towards a prior, reaches REJECT is rejected.
+becomes ``{n}``; where a node has more than MOST_CHILDREN different segments
+below it, they all become ``*``. Then templates that differ in one segment are merged if each
+has LEAST labels of its own and its share of blocked ones does not differ
+significantly from that of the whole group. So no unlabelled branch is
+merged. What is left are templates; one whose share of blocked labels, smoothed
+towards a prior, reaches REJECT is rejected, and one without labels is not.
 
 The tree is kept as a table of paths with counts, from which each level takes a
 few sums by host and node; nothing gathers a host's pages.
@@ -14,7 +15,7 @@ few sums by host and node; nothing gathers a host's pages.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnlens.llm.common import materialize, table
@@ -25,8 +26,10 @@ DEPTH = 5
 #: Expected share of blocked pages, and how many labelled pages that is worth.
 PRIOR, STRENGTH = 0.2, 4.0
 REJECT = 0.5
-#: Standard errors by which the shares of merged branches may differ.
+#: Standard errors by which the shares of what is pooled may differ.
 SIGMAS = 1.96
+#: From so many labels on, a template's share can be compared.
+LEAST = 10
 
 # Verdict, host and path of the rules.
 RULES = (
@@ -72,6 +75,24 @@ def _put(level: int, value: Column) -> Column:
     return F.transform("segs", lambda x, i: F.when(i == level, value).otherwise(x))
 
 
+def share_of(labelled: Column, blocked: Column) -> Column:
+    return (blocked + PRIOR * STRENGTH) / (labelled + STRENGTH)
+
+
+def apart(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """Whether the shares of two (labelled, blocked) differ significantly: a score test with continuity correction."""
+    (n, x), (m, y) = [[c.cast("double") for c in pair] for pair in (a, b)]
+    gap = F.abs(x * m - y * n) - (n + m) / 2
+    return gap > SIGMAS * F.sqrt((x + y) * (n + m - x - y) * n * m / F.greatest(n + m, F.lit(1.0)))
+
+
+def varying(df: DataFrame, by: list[str], more_than: int) -> list[int]:
+    """The levels at which one of these groups has more different segments than that."""
+    each = df.select(*by, F.posexplode("segs").alias("level", "seg")).distinct()
+    found = each.groupBy(*by, "level").count().filter(F.col("count") > more_than)
+    return sorted(r["level"] for r in found.select("level").distinct().collect())
+
+
 def generalise(paths: DataFrame, level: int) -> DataFrame:
     """Makes one wildcard of a node's segments where they are too many."""
     node = F.slice("segs", 1, level)
@@ -86,36 +107,51 @@ def generalise(paths: DataFrame, level: int) -> DataFrame:
     return joined.withColumn("segs", F.when(F.col("many"), _put(level, F.lit("*"))).otherwise(F.col("segs"))).drop("node", "many")
 
 
-def merge(paths: DataFrame, level: int) -> DataFrame:
-    """Makes one branch of siblings that look alike; a node has at most MOST_CHILDREN of them."""
-    node = F.slice("segs", 1, level)
-    deeper = F.size("segs") - level - 1
-    variable = F.when(F.get("segs", F.lit(level + 1)).isin("*", "{n}", "**"), F.col("pages")).otherwise(0)
-    siblings = (
-        paths.filter(F.size("segs") > level)
-        .filter(~_at(level).isin("*", "{n}", "**"))
-        .groupBy("host", node.alias("node"), _at(level).alias("seg"))
-        .agg(
-            F.sum("labelled").alias("labelled"),
-            F.sum("blocked").alias("blocked"),
-            F.round(F.sum(deeper * F.col("pages")) / F.sum("pages")).alias("depth"),
-            F.round(F.sum(variable) / F.sum("pages")).alias("variable"),
-        )
-        .withColumn("share", (F.col("blocked") + PRIOR * STRENGTH) / (F.col("labelled") + STRENGTH))
-        .withColumn("error", F.col("share") * (1 - F.col("share")) / (F.col("labelled") + STRENGTH))
+def groups(stats: Column) -> Column:
+    """Where the groups begin in a sorted array of (share, labelled, blocked, n): each is compared with the group before it as a whole."""
+    start = F.lit(None).cast("struct<labelled:bigint,blocked:bigint,starts:array<struct<share:double,labelled:bigint,blocked:bigint,n:bigint>>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        labelled, blocked = x["labelled"] * x["n"], x["blocked"] * x["n"]
+        new = acc.isNull() | apart((acc["labelled"], acc["blocked"]), (x["labelled"], x["blocked"]))
+        return F.when(
+            new, F.struct(labelled.alias("labelled"), blocked.alias("blocked"), F.concat(F.coalesce(acc["starts"], F.array()), F.array(x)).alias("starts"))
+        ).otherwise(
+            F.struct((acc["labelled"] + labelled).alias("labelled"), (acc["blocked"] + blocked).alias("blocked"), acc["starts"].alias("starts"))
+        )
+
+    return F.aggregate(stats, start, step)["starts"]
+
+
+def merge(known: DataFrame, level: int) -> DataFrame:
+    """Makes one of templates that differ in this segment only and are blocked alike.
+
+    ``known`` has host, old, segs, labelled and blocked of templates with enough
+    labels. Branches of equal counts can't be apart, so the array that groups are
+    found in holds different counts only. A merged segment names at most
+    MOST_CHILDREN of its members, the first ones, and how many more it has.
+    """
+    place = ["host", "before", "after"]
+    parts = {"before": F.slice("segs", 1, level), "after": F.slice("segs", level + 2, F.size("segs")), "seg": _at(level)}
+    branches = (
+        known.filter((F.size("segs") > level) & ~_at(level).isin("*", "{n}"))
+        .groupBy("host", *[c.alias(n) for n, c in parts.items()])
+        .agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
+        .withColumn("share", F.col("blocked") / F.col("labelled"))
     )
-    order = Window.partitionBy("host", "node", "depth", "variable").orderBy("share", "seg")
-    gap = F.col("share") - F.lag("share").over(order)
-    apart = gap > SIGMAS * F.sqrt(F.col("error") + F.lag("error").over(order))
-    cut = F.sum(F.when(apart, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    group = Window.partitionBy("host", "node", "depth", "variable", "cut")
-    names = F.array_sort(F.collect_set("seg").over(group))
-    merged = siblings.withColumn("cut", cut).withColumn("names", names).filter(F.size("names") > 1)
-    label = F.concat(F.lit("{"), F.array_join("names", "|"), F.lit("}"))
-    new = merged.select("host", "node", "seg", label.alias("merged"))
-    joined = paths.withColumns({"node": node, "seg": _at(level)}).join(new, ["host", "node", "seg"], "left")
-    return joined.withColumn("segs", F.when(F.col("merged").isNotNull(), _put(level, F.col("merged"))).otherwise(F.col("segs"))).drop(
-        "node", "seg", "merged"
+    counts = branches.groupBy(*place, "share", "labelled", "blocked").agg(F.count(F.lit(1)).alias("n"))
+    listed = F.array_sort(F.collect_list(F.struct("share", "labelled", "blocked", "n")))
+    starts = counts.groupBy(*place).agg(groups(listed).alias("starts"))
+    mine = F.struct("share", "labelled", "blocked")
+    reached = F.filter("starts", lambda x: F.struct(x["share"], x["labelled"], x["blocked"]) <= mine)
+    named = branches.join(starts, place).withColumn("group", F.size(reached))
+    names = named.groupBy(*place, "group").agg(F.array_sort(F.collect_list("seg")).alias("names")).filter(F.size("names") > 1)
+    more = F.when(F.size("names") > MOST_CHILDREN, F.concat(F.lit("|+"), F.size("names") - MOST_CHILDREN)).otherwise("")
+    label = F.concat(F.lit("{"), F.array_join(F.slice("names", 1, MOST_CHILDREN), "|"), more, F.lit("}"))
+    new = named.join(names.select(*place, "group", label.alias("merged")), [*place, "group"]).select(*place, "seg", "merged")
+    joined = known.withColumns(parts).join(new, [*place, "seg"], "left")
+    return joined.withColumn("segs", F.when(F.col("merged").isNotNull(), _put(level, F.col("merged"))).otherwise(F.col("segs"))).select(
+        *known.columns
     )
 
 
@@ -129,13 +165,19 @@ def templates(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pages"), F.count("label").alias("labelled"), F.count_if("label").alias("blocked")
     )
     paths = materialize(spark, paths.withColumn("segs", F.col("shape")), "url-paths")
-    for step in (generalise, merge):
-        for level in range(DEPTH):
-            paths = step(paths, level)
-        paths = materialize(spark, paths, "url-paths")
-    sums = paths.groupBy("host", "segs").agg(*[F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")])
-    purity = (F.col("blocked") + PRIOR * STRENGTH) / (F.col("labelled") + STRENGTH)
-    rated = sums.select("host", "segs", purity.alias("purity"), F.col("pages").alias("n_pages"))
+    for level in varying(paths, ["host"], MOST_CHILDREN):
+        paths = materialize(spark, generalise(paths, level), "url-paths")
+    counts = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
+    known = paths.groupBy("host", "segs").agg(*counts[1:]).filter(F.col("labelled") >= LEAST)
+    known = materialize(spark, known.select("host", F.col("segs").alias("old"), "segs", "labelled", "blocked"), "url-templates")
+    sized = known.withColumn("depth", F.size("segs"))
+    for level in reversed(varying(sized, ["host", "depth"], 1)):
+        known = materialize(spark, merge(known, level), "url-templates")
+    new = known.select("host", F.col("old").alias("segs"), F.col("segs").alias("merged"))
+    paths = paths.join(new, ["host", "segs"], "left").withColumn("segs", F.coalesce("merged", "segs")).drop("merged")
+    paths = materialize(spark, paths, "url-paths")
+    sums = paths.groupBy("host", "segs").agg(*counts)
+    rated = sums.select("host", "segs", share_of(F.col("labelled"), F.col("blocked")).alias("purity"), F.col("pages").alias("n_pages"))
     template = F.concat(F.lit("/"), F.array_join("segs", "/")).alias("template")
     return paths.select("host", "shape", "segs").join(rated, ["host", "segs"]).select("host", "shape", template, "purity", "n_pages")
 
