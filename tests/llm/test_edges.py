@@ -255,6 +255,27 @@ def test_only_templates_of_like_shares_are_merged(spark):
     assert set(got.values()) == want
 
 
+@pytest.mark.parametrize("n", [20, 21, 300])
+def test_sections_do_not_share_a_verdict_for_being_many(spark, n):
+    names = ["".join(chr(97 + int(c)) for c in f"{i:03}") for i in range(n)]
+    paths = [*(f"/de/{i}" for i in range(3)), *(f"/{s}/{i}" for s in names for i in range(3))]
+    got = verdicts(spark, paths, [("block", "x.de", "/de/")])
+    assert len(got) == 3 * n and {v for _, v in got.values()} == {"allow"}
+    big = verdicts(spark, [*paths, *(f"/{s}/{i}" for s in names[:2] for i in range(10, 20))], [("block", "x.de", "/de/")])
+    assert {big[f"/{s}/0"] for s in names[:2]} == {(f"/{s}/{{n}}", "allow") for s in names[:2]}
+
+
+def test_wildcards_speak_for_names_where_labels_agree(spark):
+    names = ["".join(chr(97 + int(c)) for c in f"{i:03}") for i in range(120)]
+    paths = [f"/{s}/{i}" for s in names for i in range(5)]
+    alike = verdicts(spark, paths, [("block", "x.de", f"/{s}/") for s in names[:40]])
+    assert set(alike.values()) == {("/*/{n}", "block")}
+    mixed = verdicts(spark, paths, [("block" if i < 30 else "allow", "x.de", f"/{s}/") for i, s in enumerate(names[:50])])
+    assert set(mixed.values()) == {("/*/{n}", "allow")}
+    outlier = verdicts(spark, paths, [("allow" if i else "block", "x.de", f"/{s}/{j}") for i, s in enumerate(names[:40]) for j in range(4)])
+    assert outlier[f"/{names[0]}/4"] == (f"/{names[0]}/{{n}}", "block") and outlier[f"/{names[1]}/4"] == ("/*/{n}", "allow")
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=4).tolist(), 0.0) for i in range(30)]

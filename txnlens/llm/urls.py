@@ -2,11 +2,12 @@
 
 Fixed rules come first. Their verdicts are also the labels the rest is judged by.
 Per host, a path's segments are generalised level by level: a segment with a digit
-becomes ``{n}``; where a node has more than MOST_CHILDREN different segments
-below it, they all become ``*``. Then templates that differ in one segment are merged if each
+becomes ``{n}``; where a node has more than MOST_CHILDREN rare segments below it,
+those become ``*``, but a labelled one only if LEAST others are labelled and it does
+not differ from them. Then templates that differ in one segment are merged if each
 has LEAST labels of its own and its share of blocked ones does not differ
-significantly from that of the whole group. So no unlabelled branch is
-merged. What is left are templates; one whose share of blocked labels, smoothed
+significantly from that of the whole group. So no branch inherits the labels of one
+sibling. What is left are templates; one whose share of blocked labels, smoothed
 towards a prior, reaches REJECT is rejected, and one without labels is not.
 
 The tree is kept as a table of paths with counts, from which each level takes a
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 
 from txnlens.llm.common import materialize, table
 
+#: Rare segments that a node may have apart.
 MOST_CHILDREN = 20
 #: Levels with nodes of their own; what lies deeper is one variable tail.
 DEPTH = 5
@@ -28,8 +30,10 @@ PRIOR, STRENGTH = 0.2, 4.0
 REJECT = 0.5
 #: Standard errors by which the shares of what is pooled may differ.
 SIGMAS = 1.96
-#: From so many labels on, a template's share can be compared.
+#: From so many pages on, a segment is no rare one; from so many labels on, a template's share can be compared.
 LEAST = 10
+#: Share of a node's labelled segments that may differ from the rest if those are to speak for unlabelled ones.
+OUTLIERS = 0.05
 
 # Verdict, host and path of the rules.
 RULES = (
@@ -94,17 +98,35 @@ def varying(df: DataFrame, by: list[str], more_than: int) -> list[int]:
 
 
 def generalise(paths: DataFrame, level: int) -> DataFrame:
-    """Makes one wildcard of a node's segments where they are too many."""
-    node = F.slice("segs", 1, level)
-    many = (
-        paths.filter(F.size("segs") > level)
-        .groupBy("host", node.alias("node"))
-        .agg(F.count_distinct(_at(level)).alias("n"))
-        .filter(F.col("n") > MOST_CHILDREN)
-        .select("host", "node", F.lit(True).alias("many"))
-    )
-    joined = paths.withColumn("node", node).join(many, ["host", "node"], "left")
-    return joined.withColumn("segs", F.when(F.col("many"), _put(level, F.lit("*"))).otherwise(F.col("segs"))).drop("node", "many")
+    """Makes one wildcard of a node's rare segments where they are too many.
+
+    Unlabelled ones always join. Labelled ones join, and so speak for the others,
+    if there are enough of them and they agree: those that differ from the rest
+    stay, and if these are many, or what remains scatters more than chance does, all stay.
+    """
+    node, seg = F.slice("segs", 1, level).alias("node"), _at(level).alias("seg")
+    sums = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
+    below = paths.filter(F.size("segs") > level).filter(_at(level) != "{n}")
+    rare = below.groupBy("host", node, seg).agg(*sums).filter(F.col("pages") < LEAST)
+    totals = rare.groupBy("host", "node").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("labelled") > 0).alias("n_labelled"),
+        F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"),
+    )
+    many = rare.join(totals.filter(F.col("n") > MOST_CHILDREN), ["host", "node"])
+    rest = (F.col("all_labelled") - F.col("labelled"), F.col("all_blocked") - F.col("blocked"))
+    like = (F.col("labelled") > 0) & (F.col("n_labelled") > LEAST) & ~apart((F.col("labelled"), F.col("blocked")), rest)
+    many = many.select("host", "node", "seg", "labelled", "blocked", "n_labelled", like.alias("like"))
+    # Chi squared over its degrees of freedom, by how much it exceeds its mean.
+    share = F.sum("blocked") / F.sum("labelled")
+    between = F.sum(F.col("blocked") * F.col("blocked") / F.col("labelled")) - F.sum("blocked") * share
+    bound = F.count(F.lit(1)) - 1 + SIGMAS * F.sqrt(2.0 * (F.count(F.lit(1)) - 1))
+    enough = (F.count(F.lit(1)) > LEAST) & (F.count(F.lit(1)) >= F.max("n_labelled") * (1 - OUTLIERS))
+    chance = between <= bound * share * (1 - share) + 1e-9
+    agree = many.filter("like").groupBy("host", "node").agg((enough & chance).alias("agree"))
+    joins = (F.col("labelled") == 0) | (F.col("like") & F.coalesce("agree", F.lit(False)))
+    wild = many.join(agree, ["host", "node"], "left").filter(joins).select("host", "node", "seg", F.lit(True).alias("wild"))
+    joined = paths.withColumns({"node": node, "seg": seg}).join(wild, ["host", "node", "seg"], "left")
+    return joined.withColumn("segs", F.when(F.col("wild"), _put(level, F.lit("*"))).otherwise(F.col("segs"))).drop("node", "seg", "wild")
 
 
 def groups(stats: Column) -> Column:
