@@ -276,6 +276,14 @@ def test_wildcards_speak_for_names_where_labels_agree(spark):
     assert outlier[f"/{names[0]}/4"] == (f"/{names[0]}/{{n}}", "block") and outlier[f"/{names[1]}/4"] == ("/*/{n}", "allow")
 
 
+def test_paths_are_told_apart_at_any_depth(spark):
+    for depth in (3, 5, 9, 40):
+        top = "/a" * depth
+        paths = [f"{top}/{d}/{i}" for d in ("shop", "blog") for i in range(200)]
+        rules = [(v, "x.de", f"{top}/{d}/{i}") for v, d in (("block", "shop"), ("allow", "blog")) for i in "12"]
+        assert set(verdicts(spark, paths, rules).values()) == {(f"{top}/shop/{{n}}", "block"), (f"{top}/blog/{{n}}", "allow")}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=4).tolist(), 0.0) for i in range(30)]

@@ -23,8 +23,6 @@ from txnlens.llm.common import materialize, table
 
 #: Rare segments that a node may have apart.
 MOST_CHILDREN = 20
-#: Levels with nodes of their own; what lies deeper is one variable tail.
-DEPTH = 5
 #: Expected share of blocked pages, and how many labelled pages that is worth.
 PRIOR, STRENGTH = 0.2, 4.0
 REJECT = 0.5
@@ -65,10 +63,8 @@ def rule_column(rules, value) -> Column:
 
 
 def segments(path: Column) -> Column:
-    """Generalised segments of a path, as deep as the tree goes."""
-    all_ = F.filter(F.split(path, "/"), lambda x: x != "")
-    named = F.transform(F.slice(all_, 1, DEPTH), lambda x: F.when(x.rlike("[0-9]"), "{n}").otherwise(x))
-    return F.when(F.size(all_) > DEPTH, F.concat(named, F.array(F.lit("**")))).otherwise(named)
+    """Generalised segments of a path."""
+    return F.transform(F.filter(F.split(path, "/"), lambda x: x != ""), lambda x: F.when(x.rlike("[0-9]"), "{n}").otherwise(x))
 
 
 def _at(level: int) -> Column:
