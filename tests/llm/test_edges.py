@@ -206,6 +206,26 @@ def test_template_that_rewrites_history_is_found():
         assert rewrites and not spans and whole == forgetful(turns[:n])
 
 
+def test_strict_templates_see_real_prefixes_only():
+    def strict(turns):
+        if any(role != ("assistant" if i % 2 else "user") for i, (role, _) in enumerate(turns)):
+            raise ValueError("roles must alternate, beginning with user")
+        return "".join(f"<{role}>{text};" for role, text in turns)
+
+    turns = [("assistant" if i % 2 else "user", f"text {i}") for i in range(40)]
+    whole, rewrites, spans = chat.format_turns(turns, strict)
+    assert not rewrites and whole == strict(turns)
+    assert [whole[s["text_start"] : s["text_end"]] for s in spans] == [text for _, text in turns]
+
+
+def test_rewrites_that_a_later_prefix_undoes_are_found():
+    def wavering(turns):
+        return ("!" if len(turns) == 30 else "") + "".join(f"<{role}>{text}" for role, text in turns)
+
+    turns = [("assistant" if i % 2 else "user", f"text {i}") for i in range(40)]
+    assert chat.format_turns(turns, wavering) == (wavering(turns), True, [])
+
+
 def test_lm(docs, none):
     got = lm.score_texts(docs.withColumn("_train", F.col("doc_id") < 5), order=3).collect()
     assert len(got) == 8 and {r.n_tokens for r in got if r.doc_id in (2, 3)} == {1}

@@ -6,10 +6,12 @@ i - 1 turns is the span of turn i. If it does not begin with the previous output
 the template rewrites history, which is reported. Within a turn, two renderings
 that differ only in its text show where the text begins and ends.
 
-Rendering every prefix of a long conversation whole would take quadratic time. From
-CONTEXT turns on, prefixes of a window of the last turns are rendered instead, and
-one rendering of the whole conversation proves the result: if the spans don't add
-up to it, every prefix is rendered after all.
+Rendering every prefix of a long conversation whole takes quadratic time, which only
+a template that says so can be spared: if its attribute ``by_turn`` is true, its
+output is a piece per turn that depends on turns close before only. For such a one,
+from CONTEXT turns on, prefixes of a window of the last turns are rendered instead,
+and one rendering of the whole conversation proves the result: if the spans don't
+add up to it, every prefix is rendered after all.
 """
 
 from __future__ import annotations
@@ -51,6 +53,9 @@ def inst_template(turns: list[Turn]) -> str:
     return "".join(f"{OPEN.get(role) or ROLE + escape(role) + ROLE_END}{escape(text)}{END}" for role, text in turns)
 
 
+inst_template.by_turn = True
+
+
 def read_turns(formatted: str) -> list[Turn]:
     """The turns of a text that ``inst_template`` made."""
     roles = {control: role for role, control in OPEN.items()}
@@ -88,7 +93,7 @@ def window_spans(turns: list[Turn], template: Template, context: int) -> tuple[s
 
 def locate_text(turns: list[Turn], i: int, template: Template, context: int) -> tuple[int, int]:
     """Characters of turn i's span before its text, and after it."""
-    start = 0 if i < context else i - context // 2
+    start = i - context // 2 if i >= context and getattr(template, "by_turn", False) else 0
     before, role = turns[start:i], turns[i][0]
     skip = len(template(before))
     a, b = (template([*before, (role, text)])[skip:] for text in ("a", "b"))
@@ -101,7 +106,8 @@ def format_turns(turns: list[Turn], template: Template = inst_template, context:
 
     Positions count code points. A template that rewrites history has no spans.
     """
-    found = window_spans(turns, template, context) if len(turns) > context else None
+    windows = len(turns) > context and getattr(template, "by_turn", False)
+    found = window_spans(turns, template, context) if windows else None
     whole, spans = found or prefix_spans(turns, template)
     if spans is None:
         return whole, True, []
