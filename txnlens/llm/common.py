@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -127,3 +127,25 @@ def chunks(texts: list[str | None], limit: int = CHUNK_CHARS) -> Iterator[tuple[
         size += n
     if start < len(texts):
         yield start, len(texts)
+
+
+def positions(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """All rows with ``at``, their place in the order of their group from 0, and ``n``, the group's size.
+
+    Rows are dealt to partitions by ranges of group and order, equal ones by where they were read, so that
+    neither a large group nor many equal rows end in one task. A row's place is that within its partition plus
+    what its group has in earlier partitions; there are at most as many such sums as partitions and groups.
+    Keys may not be null.
+    """
+    by = [*keys, *order, "_tie"]
+    numbered = df.withColumn("_tie", F.monotonically_increasing_id())
+    dealt = numbered.repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+    dealt = materialize(df.sparkSession, dealt.withColumn("_place", F.monotonically_increasing_id()), "sorted")
+    dealt = dealt.withColumn("_part", F.shiftright("_place", 33))
+    runs = dealt.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    group = Window.partitionBy(*keys)
+    earlier = F.sum("_rows").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    shift = (F.coalesce(earlier, F.lit(0)) - F.col("_first")).alias("_shift")
+    runs = runs.select(*keys, "_part", shift, F.sum("_rows").over(group).alias("n"))
+    placed = dealt.join(runs, [*keys, "_part"]).withColumn("at", F.col("_place") + F.col("_shift"))
+    return placed.select(*df.columns, "at", "n")
