@@ -6,6 +6,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -19,16 +20,19 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def canonical(frame):
     """Rows as sorted tuples of text, columns in order of name."""
     frame = frame[sorted(frame.columns)]
-    return sorted(tuple("NULL" if v is None or v != v else str(v) for v in row) for row in frame.itertuples(index=False))
+    return sorted(tuple("NULL" if v is None or v is pd.NA or v != v else str(v) for v in row) for row in frame.itertuples(index=False))
 
 
 def difference(spark, con, sf_dir, query, sql) -> str | None:
     """What differs, or None."""
-    ours = query(spark, sf_dir).toPandas()
+    found = query(spark, sf_dir)
+    whole = {c: {"bigint": "Int64", "int": "Int32"}[kind] for c, kind in found.dtypes if kind in ("bigint", "int")}
+    ours = found.toPandas()
+    ours = ours.astype({c: kind for c, kind in whole.items() if ours[c].hasnans})  # else null makes floats of them
     theirs = con.execute(sql).df()
     if sorted(ours.columns) != sorted(theirs.columns):
         return f"columns {sorted(ours.columns)} != {sorted(theirs.columns)}"
-    kinds = {c: (str(ours[c].dtype), str(theirs[c].dtype)) for c in ours.columns}
+    kinds = {c: (str(ours[c].dtype).lower(), str(theirs[c].dtype).lower()) for c in ours.columns}
     wrong = {c: k for c, k in kinds.items() if k[0][:3] != k[1][:3] or (k[0].startswith("int") and k[0] != k[1])}
     a, b = canonical(ours), canonical(theirs)
     if a != b:
