@@ -59,9 +59,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _POWERS = np.cumprod(np.full(4096, 0xD6E8FEB86659FD93, np.uint64))
 
 
-def word_hashes(text: str | None, kind: np.ndarray = WORD_BYTES) -> np.ndarray:
-    """64-bit hashes of a text's words with A-Z lower-cased: the runs of bytes of one kind. None of a null text."""
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+def word_hashes(text: str | None, kind: np.ndarray = WORD_BYTES, *, lower: bool = True) -> np.ndarray:
+    """64-bit hashes of a text's words: the runs of bytes of one kind, A-Z lower-cased if wanted. None of a null text."""
+    data = (text or "").encode("utf-8", "surrogatepass")
+    data = np.frombuffer(data.lower() if lower else data, np.uint8)
     if len(data) <= PIECE:
         return _piece_hashes(data, kind)
     parts, start = [], 0

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from txnlens.llm import chat, decontamination, dedup, importance, language, lm, merkle, mixing, neighbours, quality, sharding, urls
+from txnlens.llm import chat, decontamination, dedup, importance, language, lm, merkle, mixing, neighbours, quality, sharding, substrings, urls
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -42,6 +42,7 @@ def _queries() -> dict:
         "op8_urls": urls.op8_urls,
         "op9_sharding": sharding.op9_sharding,
         "op10_nearest": neighbours.op10_nearest,
+        "op11_repeats": substrings.op11_repeats,
         "op12_merkle": merkle.op12_merkle,
         "op13_importance": importance.op13_importance,
         "pipeline": corpus_pipeline.run,
@@ -54,6 +55,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": mixing.oracle(),
         "op6_chat": chat.oracle(),
         "op9_sharding": sharding.oracle(),
+        "op11_repeats": substrings.oracle(),
         "op12_merkle": merkle.oracle(),
         "op13_importance": importance.oracle(),
     }
