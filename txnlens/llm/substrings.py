@@ -264,8 +264,9 @@ def covered(found: DataFrame, window: int) -> DataFrame:
 
     several = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_anchor"), F.min("first").alias("low"), F.max("last").alias("high"))
     several = several.filter("n_anchor > 1 AND low < high").select("anchor", "n_anchor")
-    firsts = join_groups(found, several, ["anchor"], "n_anchor", hot_rows=HOT_ROWS)
-    firsts = join_groups(firsts, kinds.select("anchor", "kind", "first", "n_kind"), ["anchor", "kind"], "n_kind", hot_rows=HOT_ROWS)
+    mixed = join_groups(kinds.select("anchor", "kind", "first", "n_kind"), several, ["anchor"], "n_anchor", hot_rows=HOT_ROWS)
+    mixed = materialize(found.sparkSession, mixed, "mixed-kinds")
+    firsts = join_groups(found, mixed, ["anchor", "kind"], "n_kind", hot_rows=HOT_ROWS)
     firsts = materialize(found.sparkSession, firsts.filter("ord = first").drop("first"), "first-stretches")
     each = firsts.select("row_key", "ord", "anchor", "start", F.posexplode("windows").alias("i", "window"))
     each = each.select("row_key", "ord", "anchor", "window", (F.col("start") + F.col("i")).alias("start"))
