@@ -85,6 +85,47 @@ def test_classes_of_a_group_around_the_threshold(spark, shared):
     assert {r.doc_id: r.class_id for r in dedup.near_duplicates(docs).collect()} == want
 
 
+OWN = {"row_key": "k", "_ROW_KEY": "u", "Quality_Score": "q", "_size": "s", "_slot": "t", "_Shard": "h", "_doc": "d", "_copies": "c"}
+
+
+def test_stages_leave_columns_of_any_name(spark):
+    """Values of columns that are named like working columns, in any case, come back as they were."""
+    texts = [" ".join(f"{w}{i}" for i in range(n, n + 30)) for n in range(0, 400, 40) for w in "ab"]
+    rows = [(i, text, "en", f"s{i % 2}", *[f"{v}{i}" for v in OWN.values()]) for i, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *OWN])
+    items = spark.createDataFrame([(1, texts[3])], "item_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(20)], "doc_id long, quality int")
+    kept = {
+        "quality": quality.drop_low_quality(df, labels, threshold=0.0),
+        "near_duplicates": dedup.drop_near_duplicates(df),
+        "decontamination": decontamination.drop_contaminated(df, items),
+        "mixing": mixing.mix(df),
+        "sharding": sharding.assign_shards(df).drop("slot", "shard"),
+    }
+    for name, found in kept.items():
+        assert found.columns == df.columns and dict(found.dtypes) == dict(df.dtypes), name
+        got = {tuple(r) for r in found.collect()}
+        assert got and got <= set(rows), name
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    """One doc_id with thousands of rows, and labels given again and again, train on a row each."""
+    docs = spark.createDataFrame([(1, f"word{i} and more") for i in range(3000)] + [(i, f"text {i}") for i in range(2, 9)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 9)] * 40, "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda rows: seen.append(len(rows)))
+    quality.train(docs, labels)
+    quality.train(docs, labels, sample=3)
+    assert seen == [8, 3]
+
+
+def test_equal_rows_at_a_threshold_are_taken_by_number(spark):
+    df = spark.createDataFrame([(1, "a b c d", "s", 9)] * 50 + [(2, "e " * 100, "t", 9)], "doc_id long, text string, source string, at int").repartition(3)
+    got = {r.source: r.n for r in mixing.mix(df, weights=(1, 1), share=1.23).groupBy("source").agg(F.sum(mixing.n_words(F.col("text"))).alias("n")).collect()}
+    plan = {r["_source_of"]: r["_target"] for r in mixing.plan_mix(df, weights=(1, 1), share=1.23).collect()}
+    assert abs(got["s"] - plan["s"]) <= 2 and got["s"] % 200 != 0
+
+
 def test_near_duplicates(docs, none):
     got = sorted(((r.doc_id, r.class_id) for r in dedup.near_duplicates(docs).collect()), key=str)
     assert got == sorted([(1, 1), (1, 1), (2, 2), (3, 3), (4, 4), (None, None), (5, 5), (6, 5)], key=str)

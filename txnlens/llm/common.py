@@ -36,6 +36,31 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many ``_`` before it as it takes to differ from all columns and from each other."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def bounded_sample(df: DataFrame, hashed: Column, n: int) -> DataFrame:
+    """At most ``n`` rows, those of the smallest hashes: cut by a bound first, so that no task sends more than its part.
+
+    ``hashed`` is a 64-bit hash that should differ by row; rows are ordered by it and by all their columns.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    share = min(1.0, (n + 10 * n**0.5 + 100) / total)
+    bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    plain = [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    return df.filter(hashed <= F.lit(bound)).orderBy(hashed, *plain).limit(n)
+
+
 def id_remainder(column: str, divisor: int) -> Column:
     """crc32 of the id's text modulo a number; a null id counts as empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))

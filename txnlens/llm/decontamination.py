@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from txnlens.llm.common import (
     arrow_schema,
+    free_names,
     gram_hashes,
     materialize,
     record_batch,
@@ -120,10 +121,8 @@ def item_fingerprints(items: DataFrame, window: int, gram: int) -> DataFrame:
     return found.drop_duplicates(["item_id", "n", "fp", "lead", "around"])
 
 
-def document_hits(docs: DataFrame, bits: np.ndarray, window: int, gram: int, short: list[int]) -> DataFrame:
-    """A row per document (its ``n_words``) and a row per fingerprint that passes the filter."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-
+def document_hits(docs: DataFrame, shared, window: int, gram: int, short: list[int]) -> DataFrame:
+    """A row per document (its ``n_words``) and a row per fingerprint that passes the filter, of which ``shared`` is a broadcast."""
     schema = f"row_key long, doc_id long, n_words long, {HIT}"
     arrow = arrow_schema(schema)
 
@@ -181,8 +180,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, gr
     spark = docs.sparkSession
     fps = materialize(spark, item_fingerprints(items, window, gram), "item-fingerprints")
     short = sorted(r["n"] for r in fps.select("n").distinct().collect() if r["n"] < window)
-    bits = bloom_filter(fps, fps.count())
-    rows = materialize(spark, document_hits(docs, bits, window, gram, short), "document-hits")
+    shared = spark.sparkContext.broadcast(bloom_filter(fps, fps.count()))
+    rows = materialize(spark, document_hits(docs, shared, window, gram, short), "document-hits")
+    shared.destroy()
     theirs = fps.select("fp", "n", "item_id", F.col("lead").alias("item_lead"), F.col("around").alias("item_around"))
     joined = rows.filter("fp IS NOT NULL").select("row_key", "fp", "pos", "lead", "around").join(theirs, "fp")
     starts = joined.select("row_key", "item_id", "n", F.explode(window_starts(window, gram)).alias("first"))
@@ -197,8 +197,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, window: int = WINDOW, gr
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, **params) -> DataFrame:
     """The documents that share no window with an item; the columns of ``docs``."""
-    hit = decontaminate(docs, items, **params).filter("item_ids IS NOT NULL").select("row_key").distinct()
-    kept = docs.withColumn("row_key", row_key()).join(hit, "row_key", "left_anti")
+    (key,) = free_names(docs, "row_key")
+    hit = decontaminate(docs, items, **params).filter("item_ids IS NOT NULL").select(F.col("row_key").alias(key)).distinct()
+    kept = docs.withColumn(key, row_key()).join(hit, key, "left_anti")
     return kept.select(*docs.columns)
 
 

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from txnlens.llm.common import (
     chunks,
     arrow_schema,
+    free_names,
     gram_hashes,
     materialize,
     mix64,
@@ -353,9 +354,10 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
 
     Of repeated rows with that id and text one stays.
     """
-    kept = near_duplicates(docs, **params).filter("row_key = class_key").select(F.col("row_key").alias("_row_key")).distinct()
-    found = docs.withColumn("_row_key", row_key()).join(kept, "_row_key")
-    return found.dropDuplicates(["_row_key"]).select(*docs.columns)
+    (key,) = free_names(docs, "row_key")
+    kept = near_duplicates(docs, **params).filter("row_key = class_key").select(F.col("row_key").alias(key)).distinct()
+    found = docs.withColumn(key, row_key()).join(kept, key)
+    return found.dropDuplicates([key]).select(*docs.columns)
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

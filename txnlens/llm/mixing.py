@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import hash60, materialize
+from txnlens.llm.common import hash60, materialize, positions
 
 WEIGHTS = (5, 2, 1)
 #: Words of the mix per word of the corpus, and most copies of a document.
@@ -124,6 +124,20 @@ def thresholds(rows: DataFrame, **params) -> DataFrame:
     return materialize(spark, joined.withColumnRenamed("_source", "_source_of"), "mix-plan")
 
 
+def left_over() -> Column:
+    """What the budget has left for the rows at the threshold."""
+    return F.col("_budget") - F.col("_spent")
+
+
+def nearer() -> Column:
+    """Whether the budget is met more nearly with the one document at the threshold than without."""
+    return F.col("_edge_size") - left_over() < left_over()
+
+
+def with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    return rows.join(per_source(plan, plan.count()), same_source())
+
+
 def taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """The rows with ``_target``, ``_total`` and ``_taken``: words the mix takes of each.
 
@@ -131,17 +145,15 @@ def taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
     Repeated rows share one hash; if the threshold falls on them, each gives an
     even part of what is left.
     """
-    left = F.col("_budget") - F.col("_spent")
-    nearer = F.when(F.col("_edge_size") - left < left, F.col("_size")).otherwise(0)
-    even = F.floor(F.col("_size") * left / F.col("_edge_size"))
+    even = F.floor(F.col("_size") * left_over() / F.col("_edge_size"))
+    single = F.when(nearer(), F.col("_size")).otherwise(0)
     extra = (
         F.when(F.col("_hash") < F.col("_edge"), F.col("_size"))
-        .when(F.col("_hash") == F.col("_edge"), F.when(F.col("_edge_rows") == 1, nearer).otherwise(even))
+        .when(F.col("_hash") == F.col("_edge"), F.when(F.col("_edge_rows") == 1, single).otherwise(even))
         .otherwise(0)
     )
     words = (F.col("_base") * F.col("_size") + F.coalesce(extra, F.lit(0))).cast("long")
-    joined = rows.join(per_source(plan, plan.count()), same_source())
-    return joined.withColumn("_taken", words).drop(*({*plan.columns} - {"_target", "_total"}))
+    return with_plan(rows, plan).withColumn("_taken", words).drop(*({*plan.columns} - {"_target", "_total"}))
 
 
 def plan_mix(docs: DataFrame, **params) -> DataFrame:
@@ -151,17 +163,28 @@ def plan_mix(docs: DataFrame, **params) -> DataFrame:
 
 
 def mix(docs: DataFrame, **params) -> DataFrame:
-    """The documents, each as often as the mix takes it; the columns of ``docs``.
+    """The documents, each as often as the mix takes it; the columns of ``docs``, of any name.
 
     A null text has no words. Empty documents have size 0 and are never taken.
-    Null sources are one source, the last. Repeated rows are taken alike (those
-    at a threshold that takes a part of each: by the nearest number of copies).
-    An empty table gives an empty result. Columns may not begin with ``_``.
+    Null sources are one source, the last. Of repeated rows at a threshold as many are
+    taken once more as come nearest to the budget: they are numbered, and the first so many
+    are. An empty table gives an empty result.
     """
-    rows = taken(measured(docs), plan_mix(docs, **params))
-    copies = F.when(F.col("_size") > 0, F.round(F.col("_taken") / F.col("_size"))).otherwise(0).cast("int")
-    each = F.explode(F.array_repeat(F.lit(1), copies))
-    return rows.filter("_taken > 0").withColumn("_copy", each).select(*docs.columns)
+    plan = plan_mix(docs, **params)
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("source").alias("_source"), n_words(F.col("text")).alias("_size"), row_hash(docs).alias("_hash"))
+    joined = with_plan(rows.filter("_size > 0"), plan)
+    at_edge = F.coalesce(F.col("_hash") == F.col("_edge"), F.lit(False))
+    tied = at_edge & (F.col("_edge_rows") > 1)
+    once_more = F.coalesce((F.col("_hash") < F.col("_edge")) | (at_edge & nearer()), F.lit(False))
+    copies = joined.filter(~tied).select("_doc", (F.col("_base") + once_more.cast("int")).alias("_copies"))
+    if not plan.filter("_edge_rows > 1").isEmpty():
+        group = F.coalesce(F.concat(F.lit("="), F.col("_source").cast("string")), F.lit("")).alias("_group")
+        quota = F.round(left_over() / F.col("_size")).alias("_quota")
+        numbered = positions(joined.filter(tied).select("_doc", "_base", group, quota), ["_group"], [])
+        more = (F.col("at") < F.col("_quota")).cast("int")
+        copies = copies.unionByName(numbered.select("_doc", (F.col("_base") + more).alias("_copies")))
+    each = F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int")))
+    return copies.filter("_copies > 0").withColumn("_copy", each).select("_doc.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

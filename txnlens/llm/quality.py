@@ -17,9 +17,12 @@ from pyspark.sql import functions as F
 from txnlens.llm.common import (
     TOKEN_BYTES,
     arrow_schema,
+    bounded_sample,
+    free_names,
     id_remainder,
     mix64,
     record_batch,
+    row_key,
     table,
     word_hashes,
 )
@@ -63,7 +66,7 @@ class Classifier:
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], *, epochs: int = EPOCHS, rate: float = RATE) -> Classifier:
-    """Trains on (buckets, share of each, label); without both labels the score is the share of label 1."""
+    """Trains on (buckets, count of each, label); without both labels the score is the share of label 1."""
     y = np.array([label for _, _, label in rows], np.int64)
     if len(set(y.tolist())) < 2:
         return Classifier(np.zeros(BUCKETS, np.float32), 20.0 * (2 * int(y[0]) - 1) if len(y) else 0.0)
@@ -73,7 +76,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], *, epochs: int = EPOCHS,
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            buckets, share, label = rows[i]
+            buckets, counts, label = rows[i]
+            share = (counts / counts.sum()).astype(np.float32)
             speed = rate * (1 - done / steps)
             done += 1
             hidden = share @ vectors[buckets]
@@ -92,13 +96,15 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], *, epochs: int = EPOCHS,
 def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample: int = SAMPLE) -> Classifier:
     """Learns from at most ``sample`` labelled documents, whole texts.
 
-    Labels that are null or neither 0 nor 1 are left out. Executors make the features; the driver gets at most
-    ``sample`` lists of at most BUCKETS entries.
+    Labels that are null or neither 0 nor 1 are left out, and a label counts once however often it is repeated. Of
+    several rows of one doc_id, one text is learned, that of the smallest row key. Executors make the features; the
+    driver gets at most ``sample`` lists of at most BUCKETS entries, and keeps them in two arrays.
     """
-    chosen = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    schema = "doc_id long, label int, buckets binary, shares binary"
+    chosen = labels.filter(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
+    chosen = bounded_sample(chosen, F.xxhash64("doc_id"), sample)
+    texts = docs.select("doc_id", "text", row_key()).join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "label").agg(F.min_by("text", "row_key").alias("text"))
+    schema = "doc_id long, label int, buckets binary, counts binary"
     arrow = arrow_schema(schema)
 
     def run(batches):
@@ -107,23 +113,28 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample:
             for doc, text, y in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 found, counts = np.unique(features(text), return_counts=True)
                 if len(found):
-                    rows.append((doc, y, found.tobytes(), (counts / counts.sum()).astype(np.float32).tobytes()))
+                    rows.append((doc, y, found.tobytes(), counts.astype(np.uint32).tobytes()))
             yield record_batch(rows, arrow)
 
     made = texts.select(F.col("doc_id").cast("long"), "text", "label").mapInArrow(run, schema)
-    rows = sorted(made.toLocalIterator(), key=lambda r: (r["doc_id"], r["label"], bytes(r["buckets"])))
-    return fit([(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32), r["label"]) for r in rows])
+    buckets, counts, ends = bytearray(), bytearray(), []
+    for r in made.toLocalIterator():
+        buckets += r["buckets"]
+        counts += r["counts"]
+        ends.append((r["doc_id"], r["label"], len(buckets) // 4, len(r["buckets"]) // 4))
+    places, times = np.frombuffer(buckets, np.int32), np.frombuffer(counts, np.uint32)
+    return fit([(places[end - n : end], times[end - n : end], y) for _, y, end, n in sorted(ends)])
 
 
-def score(docs: DataFrame, model: Classifier) -> DataFrame:
-    """All rows and columns with ``quality_score``, from 0 to 1; a null text reads as empty."""
+def score(docs: DataFrame, model: Classifier, column: str = "quality_score") -> DataFrame:
+    """All rows and columns with ``column``, from 0 to 1; a null text reads as empty. A column of that name is replaced."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def scored(texts):
         return texts.map(shared.value.score, na_action=None)
 
-    return docs.withColumn("quality_score", scored("text"))
+    return docs.withColumn(column, scored("text"))
 
 
 def not_held_out(labels: DataFrame, divisor: int = 5) -> DataFrame:
@@ -133,10 +144,11 @@ def not_held_out(labels: DataFrame, divisor: int = 5) -> DataFrame:
 def drop_low_quality(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """The documents whose score reaches the threshold; the columns of ``docs``.
 
-    Repeated rows are scored alike. With an empty table of labels nothing is known, and all score 0.5.
+    Repeated rows are scored alike; texts are whole, in pieces of PIECE bytes, however long. With an empty table of
+    labels nothing is known, and all score 0.5. Columns of any name stay as they are.
     """
-    model = train(docs, not_held_out(labels))
-    return score(docs, model).filter(F.col("quality_score") >= threshold).select(*docs.columns)
+    (column,) = free_names(docs, "quality_score")
+    return score(docs, train(docs, not_held_out(labels)), column).filter(F.col(column) >= threshold).select(*docs.columns)
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import hash60
+from txnlens.llm.common import free_names, hash60
 
 #: Production parameters: a prime that is over 100 times the number of shards.
 SHARDS = 16
@@ -80,21 +80,23 @@ def assign_shards(
     Rows of one key go to one shard. A row whose key is null is placed by
     ``spread_by`` (null: as empty text), so that many such rows don't meet in one
     shard. Repeated rows stay together. Columns named like the two new ones are
-    replaced. An empty table gives an empty result.
+    replaced, all others stay as they are. An empty table gives an empty result.
     """
     text = F.col(key).cast("string")
     if spread_by in df.columns:
         text = F.coalesce(text, F.concat(F.lit("null:"), F.coalesce(F.col(spread_by).cast("string"), F.lit(""))))
     placed = df.withColumn(slot, slot_of(F.coalesce(text, F.lit("")), size)).drop(*({shard} - {slot}))
-    table = F.broadcast(slots(df.sparkSession, shard_names(n_shards), size))
-    joined = placed.join(table, F.col(slot) == F.col("_slot"))
-    return joined.withColumn(shard, F.col("_shard")).drop("_slot", "_shard")
+    at, owner = free_names(placed, "_slot", "_shard")
+    table = F.broadcast(slots(df.sparkSession, shard_names(n_shards), size).toDF(at, owner))
+    joined = placed.join(table, F.col(slot) == F.col(at))
+    return joined.withColumn(shard, F.col(owner)).drop(at, owner)
 
 
 def write_shards(df: DataFrame, path: str, *, shard: str = "shard", files_per_shard: int = 8) -> None:
     """One folder per shard, each of several files, so that no task writes a whole shard."""
     salt = F.pmod(F.xxhash64(*[c for c, kind in df.dtypes if not kind.startswith("map")]), F.lit(files_per_shard))
-    spread = df.withColumn("_salt", salt).repartition(shard, "_salt").drop("_salt")
+    (name,) = free_names(df, "_salt")
+    spread = df.withColumn(name, salt).repartition(shard, name).drop(name)
     spread.write.partitionBy(shard).parquet(path)
 
 
