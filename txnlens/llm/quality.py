@@ -20,6 +20,7 @@ from txnlens.llm.common import (
     bounded_sample,
     free_names,
     id_remainder,
+    materialize,
     mix64,
     record_batch,
     row_key,
@@ -117,6 +118,8 @@ def train(docs: DataFrame, labels: DataFrame, *, label: str = "quality", sample:
             yield record_batch(rows, arrow)
 
     made = texts.select(F.col("doc_id").cast("long"), "text", "label").mapInArrow(run, schema)
+    # All features are made at once; the driver then takes a hundred rows at a time.
+    made = materialize(docs.sparkSession, made, "features").repartition(-(-sample // 100), "doc_id")
     buckets, counts, ends = bytearray(), bytearray(), []
     for r in made.toLocalIterator():
         buckets += r["buckets"]
