@@ -213,13 +213,37 @@ def alert_cells_large(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five screenings of all rows at ever lower amounts, so that keys get one to five versions."""
     path = scratch_dir(spark, "alerts")
-    rows = raw(spark, sf_dir)
-    for batch in range(5):
-        found = bursts.fraud_alerts(bursts.large_withdrawals(rows, 400 - 100 * batch), WINDOW)
+    for batch, found in enumerate(screenings(spark, sf_dir)):
         alert_table.write_alert_batch(found, batch, path)
     return alert_table.read_alerts(spark, path)
 
 
+def screenings(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    rows = raw(spark, sf_dir)
+    return [bursts.fraud_alerts(bursts.large_withdrawals(rows, 400 - 100 * batch), WINDOW) for batch in range(5)]
+
+
+def compacted_alerts(spark: SparkSession, sf_dir: str) -> str:
+    """The same five, compacted after the third and the fourth, of which each is run again; the table's path."""
+    path = scratch_dir(spark, "alerts-compacted")
+    for batch, found in enumerate(screenings(spark, sf_dir)):
+        for _ in range(2 if batch in (2, 3) else 1):
+            alert_table.write_alert_batch(found, batch, path)
+            if batch in (2, 3):
+                alert_table.compact_alerts(spark, path)
+    return path
+
+
+def alert_versions_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alert_table.alert_versions(alert_table.read_alerts(spark, compacted_alerts(spark, sf_dir)))
+
+
+def alert_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions by the table's name in the catalog."""
+    path = compacted_alerts(spark, sf_dir)
+    return spark.read.table(alert_table.publish_alerts(spark, path, "txnlens_" + path.rsplit("-", 1)[1]))
+
+
 def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = alert_table.alert_history(stored_alerts(spark, sf_dir))
     counts = F.transform("versions", lambda v: v["transaction_count"].cast("string"))
@@ -352,6 +376,8 @@ def core_queries() -> dict[str, Query]:
         "alert_cells": alert_cells,
         "alert_cells_large": alert_cells_large,
         "alert_versions": on(stored_alerts, alert_table.alert_versions),
+        "alert_versions_compacted": alert_versions_compacted,
+        "alert_table_scan": alert_table_scan,
         "alert_latest": on(stored_alerts, alert_table.latest_alerts),
         "alert_history": alert_history,
         "stream_parse": stream_parse,
@@ -602,6 +628,8 @@ def core_sql() -> dict[str, str]:
             "SELECT customer_id || '_' || transaction_id AS row_key, CAST(amount * 1000000 AS VARCHAR) AS value FROM alerts",
         ),
         "alert_versions": q(STORED, "SELECT * FROM versions"),
+        "alert_versions_compacted": q(STORED, "SELECT * FROM versions"),
+        "alert_table_scan": q(STORED, "SELECT * FROM versions"),
         "alert_latest": q(STORED, "SELECT * EXCLUDE (version) FROM versions WHERE version = 1"),
         "alert_history": q(
             STORED,

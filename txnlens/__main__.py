@@ -1,4 +1,4 @@
-"""Runs for spark-submit: ``transform``, ``reports``, ``alerts`` and ``scan``."""
+"""Runs for spark-submit: ``transform``, ``reports``, ``alerts``, ``compact`` and ``scan``."""
 
 from __future__ import annotations
 
@@ -14,11 +14,11 @@ from txnlens.plans.suite import run_reports
 from txnlens.plans.transform import build_tables
 from txnlens.schema import BURST_COUNT, BURST_SLIDE, BURST_WINDOW, LARGE_WITHDRAWAL, REJECTED_TABLE
 from txnlens.session import build_session, require_utc
-from txnlens.sinks.alerts import latest_alerts, read_alerts
+from txnlens.sinks.alerts import compact_alerts, latest_alerts, publish_alerts, read_alerts
 from txnlens.sources.lines import parse_lines
 from txnlens.sources.streams import read_kafka, read_line_files
 from txnlens.streaming.alerts import stateful_alerts
-from txnlens.streaming.runner import burst_handler, start, start_parquet, store_handler
+from txnlens.streaming.runner import COMPACT_EVERY, burst_handler, start, start_parquet, store_handler
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -62,9 +62,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     alerts.add_argument("--per-batch", type=int, help="at most so many messages (Kafka) or files per micro-batch")
     alerts.add_argument("--drain", action="store_true", help="take what is there and end")
 
+    alerts.add_argument("--compact-every", type=int, default=COMPACT_EVERY, help="batches after which the alert table is compacted, 0: never")
+
+    compact = runs.add_parser("compact", help="compact the alert table, also while a stream fills it")
+    compact.add_argument("--db", help="give the table its name in this database as well")
     scan = runs.add_parser("scan", help="print all current alerts, or write them")
     scan.add_argument("--out", help="folder to write them to as Parquet instead")
-    for run in (alerts, scan):
+    for run in (alerts, compact, scan):
         run.add_argument("--alerts", required=True, help="folder of the alert table")
     args = parser.parse_args(argv)
     if args.run == "alerts" and args.kafka and not args.topic:
@@ -103,11 +107,11 @@ def screen(spark: SparkSession, args: argparse.Namespace) -> None:
     rejects = args.rejects or f"{args.alerts.rstrip('/')}_rejected"
     running = [start_parquet(rejected, rejects, f"{args.checkpoint.rstrip('/')}_rejected", **pace)]
     if args.per_batch_only:
-        handle = burst_handler(args.alerts, window=args.window, min_count=args.count)
+        handle = burst_handler(args.alerts, compact_every=args.compact_every, window=args.window, min_count=args.count)
         running.append(start(rows, handle, args.checkpoint, **pace))
     else:
         found = stateful_alerts(rows, args.window, args.slide, args.count, delay=args.delay)
-        running.append(start(found, store_handler(args.alerts), args.checkpoint, **pace))
+        running.append(start(found, store_handler(args.alerts, compact_every=args.compact_every), args.checkpoint, **pace))
     if args.drain:
         for query in running:
             query.awaitTermination()
@@ -132,6 +136,10 @@ def main(argv: list[str] | None = None) -> None:
         run_reports(spark, db=args.db, location=args.location, mode=args.mode)
     elif args.run == "alerts":
         screen(spark, args)
+    elif args.run == "compact":
+        compact_alerts(spark, args.alerts)
+        if args.db:
+            publish_alerts(spark, args.alerts, args.db)
     else:
         scan_alerts(latest_alerts(read_alerts(spark, args.alerts)), args.out)
 

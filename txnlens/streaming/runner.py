@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from txnlens.operators.bursts import fraud_alerts
-from txnlens.sinks.alerts import write_alert_batch
+from txnlens.sinks.alerts import compact_alerts, write_alert_batch
 
 BatchHandler = Callable[[DataFrame, int], None]
 
@@ -47,7 +47,11 @@ def start_console(df: DataFrame, checkpoint: str, *, drain: bool = False) -> Str
     return (writer.trigger(availableNow=True) if drain else writer).start()
 
 
-def burst_handler(path: str, **params) -> BatchHandler:
+#: Batches after which the alert table is compacted.
+COMPACT_EVERY = 50
+
+
+def burst_handler(path: str, *, compact_every: int | None = COMPACT_EVERY, **params) -> BatchHandler:
     """Stores the alerts found within each micro-batch by ``fraud_alerts``.
 
     A burst that is split over two batches is not seen; ``stateful_alerts`` sees it.
@@ -56,17 +60,24 @@ def burst_handler(path: str, **params) -> BatchHandler:
     def handle(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            write_alert_batch(fraud_alerts(batch, **params), batch_id, path)
+            store(fraud_alerts(batch, **params), batch_id, path, compact_every)
         finally:
             batch.unpersist()
 
     return handle
 
 
-def store_handler(path: str) -> BatchHandler:
+def store_handler(path: str, *, compact_every: int | None = COMPACT_EVERY) -> BatchHandler:
     """Stores rows that are alerts already."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_alert_batch(batch, batch_id, path)
+        store(batch, batch_id, path, compact_every)
 
     return handle
+
+
+def store(alerts: DataFrame, batch_id: int, path: str, compact_every: int | None) -> None:
+    """Adds a batch to the alert table, which is compacted now and then between two batches."""
+    write_alert_batch(alerts, batch_id, path)
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        compact_alerts(alerts.sparkSession, path)
