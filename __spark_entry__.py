@@ -27,6 +27,7 @@ from txnlens.sinks import tables  # noqa: E402
 from txnlens.sources import catalog, files, lines, streams  # noqa: E402
 from txnlens.streaming import runner  # noqa: E402
 from txnlens.streaming.alerts import stateful_alerts  # noqa: E402
+from txnlens.streaming.early import early_alerts, early_handler  # noqa: E402
 
 try:
     from txnlens.llm import registry as llm
@@ -255,16 +256,16 @@ def alert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------- streams
 
 
-def message_folder(spark: SparkSession, sf_dir: str, spoil: bool = False) -> str:
-    """All transactions as CSV messages in text files; spoilt, some amounts are text and some dates far ahead."""
-    path = scratch_dir(spark, "messages")
-    rows = cleaning.derive(raw(spark, sf_dir)).withColumn("txn_timestamp", F.col("txn_timestamp").cast("string"))
+def message_folder(spark: SparkSession, sf_dir: str, spoil: bool = False, only: str = "true", path: str | None = None) -> str:
+    """Transactions as CSV messages in text files; spoilt, some amounts are text and some dates far ahead."""
+    path = path or scratch_dir(spark, "messages")
+    rows = cleaning.derive(raw(spark, sf_dir)).filter(only).withColumn("txn_timestamp", F.col("txn_timestamp").cast("string"))
     if spoil:
         n = F.col("transaction_id")
         bad = {"amount": (19, "n/a"), "txn_timestamp": (23, "2999-01-01 00:00:00")}
         texts = {c: F.when(n % k == 0, F.lit(text)).otherwise(F.col(c).cast("string")) for c, (k, text) in bad.items()}
         rows = rows.withColumns(texts)
-    rows.select(F.to_csv(F.struct(*layout("stream").names)).alias("value")).write.text(path)
+    rows.select(F.to_csv(F.struct(*layout("stream").names)).alias("value")).write.mode("append").text(path)
     return path
 
 
@@ -313,6 +314,21 @@ def stream_alerts_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(stored.drop("batch_id"))
 
 
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth message arrives after all others, in a second run of the stream: early alerts, and what came too late."""
+    path = scratch_dir(spark, "early")
+    messages = f"{path}/messages"
+    for part in ("transaction_id % 10 <> 9", "transaction_id % 10 = 9"):
+        message_folder(spark, sf_dir, only=part, path=messages)
+        found = early_alerts(message_stream(spark, messages), WINDOW, SLIDE, delay="10 days")
+        handle = early_handler(f"{path}/alerts", f"{path}/late")
+        runner.start(found, handle, f"{path}/checkpoint", drain=True).awaitTermination()
+    stored = alert_table.read_alerts(spark, f"{path}/alerts").withColumn("kind", F.lit("alert"))
+    late = spark.read.parquet(f"{path}/late").withColumns({"kind": F.lit("late"), "transaction_count": F.lit(0).cast("long")})
+    columns = ["kind", "transaction_count", "transaction_id", "customer_id", "amount"]
+    return stored.select(*columns).unionByName(late.select(*columns))
+
+
 # ------------------------------------------------------------------ contract
 
 
@@ -384,6 +400,7 @@ def core_queries() -> dict[str, Query]:
         "stream_rejects": stream_rejects,
         "stream_alerts_per_batch": stream_alerts_per_batch,
         "stream_alerts_stateful": stream_alerts_stateful,
+        "stream_late": stream_late,
     }
 
 
@@ -457,6 +474,28 @@ sliding_alerts AS (
   FROM starts t JOIN sliding s USING (customer_id, window_start)
   GROUP BY t.transaction_id, t.customer_id, t.txn_timestamp, t.amount, t.channel)"""
 
+def sliding_over(rows: str, name: str) -> str:
+    """Rows under a full sliding window, with the highest count."""
+    return f""",
+{name}_starts AS (SELECT l.*, date_trunc('hour', txn_timestamp) - g.i * INTERVAL 1 hour AS window_start FROM {rows} l, range(24) g(i)),
+{name}_full AS (
+  SELECT customer_id, window_start, count(transaction_id) AS n FROM {name}_starts GROUP BY ALL HAVING count(transaction_id) > 2),
+{name} AS (
+  SELECT max(n) AS transaction_count, transaction_id, customer_id, any_value(amount) AS amount
+  FROM {name}_starts JOIN {name}_full USING (customer_id, window_start) GROUP BY transaction_id, customer_id)"""
+
+
+LATE = (
+    LARGE
+    + """,
+punctual AS (SELECT * FROM large WHERE transaction_id % 10 <> 9),
+mark AS (SELECT (epoch_us(max(txn_timestamp)) // 1000 - 10 * 86400000) * 1000 AS us FROM punctual),
+tenth AS (SELECT l.*, epoch_us(txn_timestamp) < us AS late FROM large l, mark WHERE transaction_id % 10 = 9),
+in_time AS (SELECT * FROM punctual UNION ALL SELECT * EXCLUDE (late) FROM tenth WHERE NOT late)"""
+    + sliding_over("punctual", "first_run")
+    + sliding_over("in_time", "both_runs")
+)
+
 STORED = RAW + """,
 screened AS (
   SELECT b.i AS batch_id, raw.*, date_trunc('day', txn_timestamp) AS window_start
@@ -653,6 +692,13 @@ def core_sql() -> dict[str, str]:
             SLIDING,
             "SELECT customer_id || '_' || transaction_id AS row_key, * FROM sliding_alerts",
         ),
+        "stream_late": q(
+            LATE,
+            "SELECT 'late' AS kind, CAST(0 AS BIGINT) AS transaction_count, transaction_id, customer_id, amount FROM tenth WHERE late "
+            "UNION ALL SELECT 'alert', transaction_count, transaction_id, customer_id, amount FROM first_run "
+            "UNION ALL SELECT 'alert', transaction_count, transaction_id, customer_id, amount FROM both_runs "
+            "ANTI JOIN first_run USING (transaction_id, customer_id)",
+        ),
     }
     result.update({f"rollup_{name}": result[name] for name in ROLLUP_REPORTS})
     counted = " UNION ALL ".join(

@@ -18,6 +18,7 @@ from txnlens.sinks.alerts import compact_alerts, latest_alerts, publish_alerts,
 from txnlens.sources.lines import parse_lines
 from txnlens.sources.streams import read_kafka, read_line_files
 from txnlens.streaming.alerts import stateful_alerts
+from txnlens.streaming.early import early_alerts, early_handler
 from txnlens.streaming.runner import COMPACT_EVERY, burst_handler, start, start_parquet, store_handler
 
 
@@ -49,6 +50,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         action="store_true",
         help="tumbling windows within each micro-batch; misses bursts that two batches share",
     )
+    alerts.add_argument(
+        "--early",
+        action="store_true",
+        help="report a row in the batch that completes a burst, and keep rows that come too late",
+    )
+    alerts.add_argument("--late", help="folder of those rows, by default that of the alerts with _late")
     alerts.add_argument("--window", default=BURST_WINDOW)
     alerts.add_argument("--slide", default=BURST_SLIDE, help="step of the windows; not with --per-batch-only")
     alerts.add_argument("--delay", default=BURST_WINDOW, help="how late a message may be; not with --per-batch-only")
@@ -73,6 +80,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.run == "alerts" and args.kafka and not args.topic:
         parser.error("--kafka needs --topic")
+    if args.run == "alerts" and args.early and args.per_batch_only:
+        parser.error("--early and --per-batch-only exclude each other")
     return args
 
 
@@ -109,6 +118,10 @@ def screen(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.per_batch_only:
         handle = burst_handler(args.alerts, compact_every=args.compact_every, window=args.window, min_count=args.count)
         running.append(start(rows, handle, args.checkpoint, **pace))
+    elif args.early:
+        found = early_alerts(rows, args.window, args.slide, args.count, delay=args.delay)
+        handle = early_handler(args.alerts, args.late or f"{args.alerts.rstrip('/')}_late", compact_every=args.compact_every)
+        running.append(start(found, handle, args.checkpoint, **pace))
     else:
         found = stateful_alerts(rows, args.window, args.slide, args.count, delay=args.delay)
         running.append(start(found, store_handler(args.alerts, compact_every=args.compact_every), args.checkpoint, **pace))

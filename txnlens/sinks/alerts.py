@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnlens.functions.cells import row_key
+from txnlens.operators.quality import REASON
 from txnlens.schema import ALERT_TABLE, ALERT_VERSIONS
 from txnlens.sinks.folders import Folder
 from txnlens.sinks.tables import create_database
@@ -69,6 +70,12 @@ def write_alert_batch(alerts: DataFrame, batch_id: int, path: str) -> None:
     _put(highest.select(*columns), folder, f"tail-{batch_id:012d}", replace=True)
 
 
+def write_late_rows(rows: DataFrame, batch_id: int, path: str) -> None:
+    """Keeps the rows of one batch that came behind the watermark; a batch that is run again replaces them."""
+    late = rows.select("*", F.lit("late").alias(REASON))
+    late.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """All stored versions with the ``batch_id`` that wrote them: the base and the batches since."""
     folder = Folder(spark, path)

@@ -7,28 +7,32 @@ step, those counts in three overlapping spans, and each row once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnlens.functions.durations import epoch_micros, floor_to, interval
+from txnlens.functions.steps import fullest, merged
 from txnlens.operators.sliding import check_slide
 from txnlens.schema import ALERT_COLUMNS, BURST_COUNT, BURST_SLIDE, BURST_WINDOW
 
 
-def _windows_from(steps: Column, size: int) -> Column:
-    """For each ``(at, n)`` of an array of steps: ``at`` and the count of the window that starts there."""
+def _fullest_steps(size: int, min_count: int):
+    """Arrays of steps and counts, of a span that starts at ``first`` and of which the middle third is judged:
+    its steps under a window of more than ``min_count``, with the highest count. Linear but for a logarithm."""
 
-    def count_from(first: Column) -> Column:
-        within = F.filter(steps, lambda s: (s["at"] >= first) & (s["at"] < first + size))
-        return F.aggregate(within, F.lit(0).cast("long"), lambda total, s: total + s["n"])
+    @F.pandas_udf("array<struct<at:long,count:long>>")
+    def judged(at: pd.Series, n: pd.Series, first: pd.Series) -> pd.Series:
+        out = []
+        for steps, counts, start in zip(at, n, first, strict=True):
+            steps, counts = merged(np.asarray(steps, np.int64), np.asarray(counts, np.int64))
+            most = fullest(steps, counts, size)
+            kept = (steps >= start + size) & (steps < start + 2 * size) & (most > min_count)
+            out.append([{"at": a, "count": c} for a, c in zip(steps[kept].tolist(), most[kept].tolist(), strict=True)])
+        return pd.Series(out)
 
-    return F.transform(steps, lambda s: F.struct(s["at"].alias("at"), count_from(s["at"]).alias("n")))
-
-
-def _fullest_over(at: Column, windows: Column, size: int) -> Column:
-    """The highest count of a window over the step ``at``."""
-    over = F.filter(windows, lambda w: (w["at"] <= at) & (w["at"] > at - size))
-    return F.array_max(F.transform(over, lambda w: w["n"]))
+    return judged
 
 
 def _flagged_steps(rows: DataFrame, window: str, slide: str, min_count: int) -> DataFrame:
@@ -47,22 +51,16 @@ def _flagged_steps(rows: DataFrame, window: str, slide: str, min_count: int) ->
         counts.groupBy(F.window("step", f"{3 * size} microseconds", window).alias("span"), "customer_id")
         .agg(F.collect_list(entry).alias("steps"), F.sum("n").alias("n"))
         .where(F.col("n") > min_count)
-        .withColumn("windows", _windows_from(F.col("steps"), size))
-    )
-    middle = epoch_micros(F.col("span.start")) + size
-    windows = F.col("windows")
-    in_middle = F.filter(windows, lambda w: (w["at"] >= middle) & (w["at"] < middle + size))
-    fullest = F.transform(
-        in_middle, lambda w: F.struct(w["at"].alias("at"), _fullest_over(w["at"], windows, size).alias("count"))
     )
+    start = epoch_micros(F.col("span.start"))
+    flagged = _fullest_steps(size, min_count)(F.col("steps.at"), F.col("steps.n"), start)
     return (
         spans.select(
             F.col("customer_id").alias("flag_customer"),
             F.window_time("span").alias("flag_time"),
-            F.explode(fullest).alias("flag"),
+            F.explode(flagged).alias("flag"),
         )
         .select("flag_customer", "flag_time", "flag.*")
-        .where(F.col("count") > min_count)
     )
 
 
