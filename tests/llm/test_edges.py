@@ -356,3 +356,27 @@ def test_neighbours(spark):
     assert [r.vec_id for r in sorted((r for r in got if r.query_id == 60), key=lambda r: r["rank"])] == list(range(50, 60))
     assert neighbours.nearest(df.limit(0), F.col("vec_id") > 0).isEmpty()
     assert neighbours.nearest(df.where("vec_id < 3"), F.col("vec_id") == 0).count() == 2
+
+
+def test_neighbours_of_two_widths(spark):
+    """Each vector's neighbours are those of its own number of components."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=2 if i % 2 else 3).tolist()) for i in range(1, 120)] + [(1000, [0.1, 0.2, 0.3]), (1001, [1.0] * 5), (None, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    vectors = {i: np.array(v) for i, v in rows if i is not None}
+    got = neighbours.nearest(df, (F.col("vec_id") % 100 == 0) | (F.col("vec_id") % 100 == 1), recall=1.0).collect()
+    for q in (1, 100, 101, 1000, 1001):
+        far = sorted((float(np.sqrt(((v - vectors[q]) ** 2).sum())), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q]))
+        mine = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q)
+        assert [m[1] for m in mine] == [i for _, i in far[:10]], q
+        assert [m[2] for m in mine] == pytest.approx([d for d, _ in far[:10]])
+
+
+def test_counts_beyond_32_bits():
+    keys = np.array([3, 1, 3, 2, 3], np.uint64)
+    counts = np.array([1 << 32, 5, (1 << 32) - 1, 0, 1 << 40], np.int64)
+    want = [(1 << 33) - 1 + (1 << 40), 5, (1 << 33) - 1 + (1 << 40), 0, (1 << 33) - 1 + (1 << 40)]
+    assert lm.totals(keys, counts).tolist() == want
+    for part in (counts, counts[1:2], counts[:0]):
+        assert lm.unpack_counts(lm.pack_counts(part), len(part)).tolist() == part.tolist()
+    assert len(lm.pack_counts(counts[1:2])) == 4

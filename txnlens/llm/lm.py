@@ -76,7 +76,8 @@ def partition_of(keys: np.ndarray, partitions: int) -> np.ndarray:
 
 
 def pack(keys: np.ndarray) -> bytes:
-    """The low 48 bits of keys; within a partition of bounded size these tell keys apart."""
+    """The low 48 bits of keys. Of m different n-grams in a partition, two share them with a chance of m^2 / 2^49: one in
+    1,400 at 600,000, as many as BLOCK_CHARS lets in; they then get each other's counts as well."""
     return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
 
@@ -86,6 +87,24 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").reshape(-1)
 
 
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts in 32 bits each if all fit, else in 64."""
+    return counts.astype("<u4" if not len(counts) or counts.max() < 1 << 32 else "<u8").tobytes()
+
+
+def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<u4" if len(data) == 4 * n else "<u8").astype(np.int64)
+
+
+def totals(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For each key, the sum of the counts of all its occurrences, exact up to 63 bits."""
+    order = np.argsort(keys, kind="stable")
+    first = np.flatnonzero(np.concatenate(([True], keys[order][1:] != keys[order][:-1])))[: len(keys)]
+    out = np.empty(len(keys), np.int64)
+    out[order] = np.repeat(np.add.reduceat(counts[order], first), np.diff(first, append=len(keys))) if len(keys) else 0
+    return out
+
+
 class Automaton:
     """Arcs of the n-grams of a block, by their counts in the whole training corpus."""
 
@@ -177,27 +196,26 @@ def score_texts(docs: DataFrame, *, order: int = ORDER, block_chars: int = BLOCK
         counts = np.zeros(len(keys), np.int64)
         for at in places:
             counts += np.bincount(at[train & (at >= 0)], minlength=len(keys))
-        counts = counts.astype("<u4")
         bounds = np.searchsorted(partition_of(keys, n), np.arange(n + 1))
         rows = [
-            (int(pdf["block"].iat[0]), p, pack(keys[a:b]), counts[a:b].tobytes())
+            (int(pdf["block"].iat[0]), p, pack(keys[a:b]), pack_counts(counts[a:b]))
             for p, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))
             if b > a
         ]
         return pd.DataFrame(rows, columns=["block", "part", "keys", "counts"])
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([unpack(x) for x in pdf["keys"]])
-        _, inverse = np.unique(keys, return_inverse=True)
-        counts = np.frombuffer(b"".join(pdf["counts"]), "<u4")
-        total = np.bincount(inverse, weights=counts).astype("<u4")[inverse]
-        ends = np.cumsum([len(x) // 6 for x in pdf["keys"]])
-        parts = [x.tobytes() for x in np.split(total, ends[:-1])]
-        return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "counts": parts})
+        keys = [unpack(x) for x in pdf["keys"]]
+        counts = [unpack_counts(x, len(k)) for x, k in zip(pdf["counts"], keys, strict=True)]
+        total = totals(np.concatenate(keys), np.concatenate(counts))
+        parts = np.split(total, np.cumsum([len(k) for k in keys])[:-1])
+        return pd.DataFrame({"block": pdf["block"], "part": pdf["part"], "n": [len(k) for k in keys], "counts": list(map(pack_counts, parts))})
 
     def score(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         lengths, keys, places = block_ngrams(texts["text"].tolist(), order)
-        counts = np.frombuffer(b"".join(answers.sort_values("part")["counts"]), "<u4")
+        answers = answers.sort_values("part")
+        counts = [unpack_counts(x, n) for x, n in zip(answers["counts"], answers["n"], strict=True)]
+        counts = np.concatenate(counts) if counts else np.empty(0, np.int64)
         if len(counts) != len(keys):
             raise RuntimeError(f"{len(counts)} counts for {len(keys)} n-grams")
         automaton = Automaton(counts, training, order)
@@ -220,7 +238,7 @@ def score_texts(docs: DataFrame, *, order: int = ORDER, block_chars: int = BLOCK
         )
 
     asked = blocked.groupBy("block").applyInPandas(ask, "block long, part long, keys binary, counts binary")
-    answered = asked.repartition(n, "part").groupBy("part").applyInPandas(answer, "block long, part long, counts binary")
+    answered = asked.repartition(n, "part").groupBy("part").applyInPandas(answer, "block long, part long, n long, counts binary")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return blocked.groupBy("block").cogroup(answered.groupBy("block")).applyInPandas(score, schema)
 

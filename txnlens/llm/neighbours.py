@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import arrow_schema, materialize, record_batch, table
+from txnlens.llm.common import arrow_schema, bounded_sample, materialize, record_batch, table
 
 NEIGHBOURS, TREES, BITS, SEED = 10, 16, 64, 11
 #: Rows of a forest, queries of a block.
@@ -108,7 +108,7 @@ def _arrays(rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 def tuned_share(rows: DataFrame, planes: np.ndarray, k: int, recall: float = RECALL) -> float:
     """The smallest share of rows to meet that reaches the recall on the sample (rows of the smallest hashes)."""
-    ids, vectors = _arrays(rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect())
+    ids, vectors = _arrays(bounded_sample(rows, F.xxhash64("vec_id", "v"), SAMPLE).collect())
     if len(ids) <= 4 * k:
         return 1.0
     forest, queries = Forest(ids, vectors, planes), slice(0, SAMPLE_QUERIES)
@@ -131,23 +131,33 @@ def nearest(df: DataFrame, queries: Column, *, k: int = NEIGHBOURS, trees: int =
 
     ``queries`` is a condition on vec_id. A query's own row is no candidate; ties go
     to the smaller vec_id, and fewer candidates give fewer rows. Rows that can't be
-    measured take no part, nor those whose number of components is not the most
-    common one. Repeated rows of one id and vector count once. An empty table gives
-    no rows. Reads vec_id and embedding only.
+    measured take no part, nor those without a vec_id. Only vectors of one number of
+    components can be measured against each other, so each such number has forests of its own. Repeated
+    rows of one id and vector count once. An empty table gives no rows. Reads vec_id and embedding only.
     """
     spark = df.sparkSession
     rows = usable(df)
-    width = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    widths = sorted(r["d"] for r in rows.filter(queries).select(F.size("v").alias("d")).distinct().collect())
+    found = [part for d in widths for part in _search(rows.filter(F.size("v") == d), queries, d, k, trees, recall)]
+    if not found:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    out = found[0]
+    for part in found[1:]:
+        out = out.unionByName(part)
+    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    ranked = out.distinct().withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _search(rows: DataFrame, queries: Column, dimensions: int, k: int, trees: int, recall: float) -> Iterator[DataFrame]:
+    """What each piece found for a block of queries, a written table per block: one block is on the driver at a time."""
+    spark = rows.sparkSession
     schema = "query_id long, vec_id long, score double"
     arrow = arrow_schema(schema)
-    if width is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.filter(F.size("v") == width["d"])
-    planes = directions(width["d"], trees)
+    planes = directions(dimensions, trees)
     share = tuned_share(rows, planes, k, recall)
     asked = materialize(spark, rows.filter(queries).distinct(), "queries")
     n_blocks = -(-asked.count() // BLOCK)
-    parts = []
     for block in range(n_blocks):
         mine = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == block)
         shared = spark.sparkContext.broadcast((*_arrays(mine.collect()), planes, share))
@@ -155,20 +165,17 @@ def nearest(df: DataFrame, queries: Column, *, k: int = NEIGHBOURS, trees: int =
         def run(batches, shared=shared):
             query_ids, vectors, planes, share = shared.value
             strings = hash_strings(vectors, planes) if len(vectors) else None
-            for ids, mine in _pieces(batches, vectors.shape[-1]):
+            for ids, mine in _pieces(batches, dimensions):
+                if strings is None:
+                    continue
                 forest = Forest(ids, mine, planes)
                 out = []
                 for q, near, far in forest.search(query_ids, vectors, strings, max(k, round(share * len(ids))), k):
                     out += zip([int(query_ids[q])] * len(near), near.tolist(), far.tolist(), strict=True)
                 yield record_batch(out, arrow)
 
-        parts.append(rows.mapInArrow(run, schema))
-    found = parts[0] if parts else rows.limit(0).selectExpr("vec_id AS query_id", "vec_id", "0D AS score")
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        yield materialize(spark, rows.mapInArrow(run, schema), "nearest")
+        shared.destroy()
 
 
 def _pieces(batches, dimensions: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
