@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from txnlens.fixtures import transactions_from_events  # noqa: E402
-from txnlens.functions.cells import cell_map, row_key  # noqa: E402
+from txnlens.functions.cells import amount_text, cell_map, row_key  # noqa: E402
 from txnlens.operators import bursts, cleaning, quality, sliding, summary  # noqa: E402
 from txnlens.plans import reports, suite, transform  # noqa: E402
 from txnlens.schema import ALERT_COLUMNS, REJECTED_TABLE, REPORT_TABLES, layout  # noqa: E402
@@ -130,7 +130,7 @@ def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def saved_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """A database with the declared and then loaded raw and clean tables."""
+    """A database with the declared raw and clean tables, filled as they were declared."""
     location = scratch_dir(spark, "tables")
     db = "txnlens_" + location.rsplit("-", 1)[1]
     tables.create_database(spark, db, f"{location}/db")
@@ -139,13 +139,13 @@ def saved_tables(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
         ("transactions", "clean", clean(spark, sf_dir)),
     ):
         tables.create_table(spark, name, layout(kind), db=db, location=location, partition_by=["channel"])
-        tables.save_table(rows, name, db=db, location=location, partition_by=["channel"])
+        tables.fill_table(rows.withColumn("txn_timestamp", F.col("txn_timestamp").cast("timestamp")), name, db=db)
     return db, location
 
 
 def table_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     db, _ = saved_tables(spark, sf_dir)
-    return catalog.load_table(spark, "transactions", db)
+    return without_zone(catalog.load_table(spark, "transactions", db))
 
 
 def table_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,20 +174,37 @@ def built_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy(F.col("quarantine_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def loaded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries by day: the first lacks rows of the days from the 15th on, which the second holds whole."""
+    location = scratch_dir(spark, "days")
+    db = "txnlens_" + location.rsplit("-", 1)[1]
+    tables.create_database(spark, db, f"{location}/db")
+    day = F.dayofmonth("txn_timestamp")
+    for part, rows in enumerate(((day <= 20) & ((day < 15) | (F.col("transaction_id") % 3 == 0)), day >= 15)):
+        out = records(spark, sf_dir).filter(rows).withColumn("txn_timestamp", F.col("txn_timestamp").cast("string"))
+        out.withColumnRenamed("txn_timestamp", "timestamp").write.csv(f"{location}/csv-{part}", header=True)
+        transform.load_days(spark, f"{location}/csv-{part}", db=db, location=location)
+    loaded = without_zone(catalog.load_table(spark, "transactions", db))
+    return loaded.withColumn("txn_date", F.col("txn_date").cast("string"))
+
+
 def report_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run that writes all reports; number of rows of each table."""
+    """The run that writes all reports; all rows of each table, as text."""
     db, location = saved_tables(spark, sf_dir)
     suite.run_reports(spark, db=db, location=location)
-    counts = [
-        catalog.load_table(spark, table, db).agg(F.lit(name).alias("report"), F.count(F.lit(1)).alias("n"))
-        for name, table in REPORT_TABLES.items()
-    ]
-    out = counts[0]
-    for df in counts[1:]:
+    texts = [row_texts(catalog.load_table(spark, table, db), name) for name, table in REPORT_TABLES.items()]
+    out = texts[0]
+    for df in texts[1:]:
         out = out.unionByName(df)
     return out
 
 
+def row_texts(df: DataFrame, name: str) -> DataFrame:
+    """Each row as ``name`` and the text of its cells, in order of the columns' names."""
+    cells = [amount_text(F.col(c)) if kind == "double" else F.col(c).cast("string") for c, kind in sorted(df.dtypes)]
+    return df.select(F.lit(name).alias("report"), F.concat_ws("|", *[F.coalesce(c, F.lit("NULL")) for c in cells]).alias("cells"))
+
+
 def report_from_rollups(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = clean(spark, sf_dir)
@@ -369,6 +386,7 @@ def core_queries() -> dict[str, Query]:
         ),
         **{f"rollup_{name}": report_from_rollups(name) for name in ROLLUP_REPORTS},
         "report_tables": report_tables,
+        "loaded_days": loaded_days,
         "csv_scan": csv_scan,
         "csv_scan_positional": csv_scan_positional,
         "csv_scan_inferred": csv_scan_inferred,
@@ -404,6 +422,22 @@ def core_queries() -> dict[str, Query]:
     }
 
 
+#: Columns of the reports in order of their names, as text.
+REPORT_CELLS = {
+    name: ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in sorted(columns.split()))
+    for name, columns in {
+        "top_customers": "customer_id no_of_transactions",
+        "top_withdrawal_customer": "customer_id total_withdrawal_amount",
+        "monthly_volume": "customer_id txn_month total_no_of_transactions total_amount_transfered",
+        "avg_amount_by_channel": "channel avg_amount",
+        "success_rate_by_channel": "channel success_rate",
+        "hourly_trend": "txn_hour no_of_transaction total_amount_transfered",
+        "daily_volume": "txn_day no_of_transaction total_amount_transfered",
+        "high_value_per_day": "customer_id txn_day no_of_transaction",
+        "failed_over_limit": "customer_id",
+        "all_channels_in_week": "customer_id",
+    }.items()
+}
 DESCRIBED = ["amount", "txn_day", "txn_hour", "high_value_flag"]
 ROLLUP_REPORTS = [
     "top_customers",
@@ -593,6 +627,7 @@ def core_sql() -> dict[str, str]:
             "(SELECT max(txn_timestamp) FROM clean) - INTERVAL 7 day)",
             every_channel.format(rows="last_week", keys="customer_id"),
         ),
+        "loaded_days": q(CLEAN, "SELECT *, strftime(txn_timestamp, '%Y-%m-%d') AS txn_date FROM clean"),
         "csv_scan": q(RECORDS, "SELECT * FROM records"),
         "csv_scan_positional": q(CLEAN, "SELECT * FROM clean"),
         "csv_scan_inferred": q(RECORDS, "SELECT * FROM records"),
@@ -701,8 +736,7 @@ def core_sql() -> dict[str, str]:
         ),
     }
     result.update({f"rollup_{name}": result[name] for name in ROLLUP_REPORTS})
-    counted = " UNION ALL ".join(
-        f"SELECT '{name}' AS report, count(*) AS n FROM ({result[name]})" for name in REPORT_TABLES
+    result["report_tables"] = " UNION ALL ".join(
+        f"SELECT '{name}' AS report, concat_ws('|', {REPORT_CELLS[name]}) AS cells FROM ({result[name]})" for name in REPORT_TABLES
     )
-    result["report_tables"] = counted
     return result

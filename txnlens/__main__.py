@@ -11,7 +11,7 @@ from txnlens.operators.bursts import large_withdrawals
 from txnlens.operators.cleaning import normalize
 from txnlens.operators.quality import split_valid
 from txnlens.plans.suite import run_reports
-from txnlens.plans.transform import build_tables
+from txnlens.plans.transform import build_tables, load_days
 from txnlens.schema import BURST_COUNT, BURST_SLIDE, BURST_WINDOW, LARGE_WITHDRAWAL, REJECTED_TABLE
 from txnlens.session import build_session, require_utc
 from txnlens.sinks.alerts import compact_alerts, latest_alerts, publish_alerts, read_alerts
@@ -30,6 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     transform = runs.add_parser("transform", help="CSV files to the raw and the clean table")
     transform.add_argument("--csv", required=True)
     transform.add_argument("--quarantine-table", default=REJECTED_TABLE, help="table of the rejected records")
+    transform.add_argument("--by-day", action="store_true", help="replace only the days in the files, in tables partitioned by day")
     transform.add_argument("--keep-incomplete", action="store_true", help="leave rejected records in the raw table too")
 
     reports = runs.add_parser("reports", help="all report tables from the saved tables")
@@ -80,6 +81,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.run == "alerts" and args.kafka and not args.topic:
         parser.error("--kafka needs --topic")
+    if args.run == "transform" and args.by_day and args.keep_incomplete:
+        parser.error("--by-day keeps no incomplete records")
     if args.run == "alerts" and args.early and args.per_batch_only:
         parser.error("--early and --per-batch-only exclude each other")
     return args
@@ -135,7 +138,9 @@ def screen(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = build_session(f"txnlens-{args.run}", hive=args.hive)
-    if args.run == "transform":
+    if args.run == "transform" and args.by_day:
+        load_days(spark, args.csv, db=args.db, location=args.location, quarantine_table=args.quarantine_table)
+    elif args.run == "transform":
         read_large_splits(spark)
         build_tables(
             spark,
