@@ -101,7 +101,8 @@ def early_alerts(
             state.update(left)
         elif state.exists:
             state.remove()
-        yield found[[x.split()[0] for x in FOUND.split(", ")]]
+        if len(found):
+            yield found[[x.split()[0] for x in FOUND.split(", ")]]
 
     sent = sent.withColumn("group", F.pmod(F.xxhash64("customer_id"), F.lit(groups)))
     judged = sent.groupBy("group").applyInPandasWithState(judge, FOUND, STATE, "append", GroupStateTimeout.NoTimeout)
