@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from txnlens.fixtures import transactions_from_events  # noqa: E402
 from txnlens.functions.cells import amount_text, cell_map, row_key  # noqa: E402
-from txnlens.operators import bursts, cleaning, quality, sliding, summary  # noqa: E402
+from txnlens.operators import bursts, cleaning, intervals, quality, sliding, summary  # noqa: E402
 from txnlens.plans import reports, suite, transform  # noqa: E402
 from txnlens.schema import ALERT_COLUMNS, REJECTED_TABLE, REPORT_TABLES, layout  # noqa: E402
 from txnlens.session import scratch_dir  # noqa: E402
@@ -407,6 +407,8 @@ def core_queries() -> dict[str, Query]:
         "fraud_alerts_halfopen": on(withdrawals, bursts.fraud_alerts, window=WINDOW, end_inclusive=False),
         "sliding_windows": on(withdrawals, sliding.sliding_windows, window=WINDOW, slide=SLIDE),
         "sliding_alerts": on(withdrawals, sliding.sliding_alerts, window=WINDOW, slide=SLIDE),
+        "interval_alerts": on(withdrawals, intervals.interval_alerts, window=WINDOW, slide=SLIDE),
+        "interval_windows": on(withdrawals, intervals.windows_by_join, window=WINDOW, slide=SLIDE),
         "alert_cells": alert_cells,
         "alert_cells_large": alert_cells_large,
         "alert_versions": on(stored_alerts, alert_table.alert_versions),
@@ -508,6 +510,18 @@ sliding_alerts AS (
   FROM starts t JOIN sliding s USING (customer_id, window_start)
   GROUP BY t.transaction_id, t.customer_id, t.txn_timestamp, t.amount, t.channel)"""
 
+BURSTS = SLIDING + """,
+opened AS (
+  SELECT *, coalesce(window_start > lag(window_start) OVER w + INTERVAL 1 day, true) AS opens
+  FROM sliding WINDOW w AS (PARTITION BY customer_id ORDER BY window_start)),
+numbered AS (
+  SELECT *, count(*) FILTER (opens) OVER (PARTITION BY customer_id ORDER BY window_start) AS burst FROM opened),
+bursts AS (
+  SELECT customer_id, min(window_start) AS burst_start, max(window_start) + INTERVAL 1 day AS burst_end,
+         max(transaction_count) AS transaction_count
+  FROM numbered GROUP BY customer_id, burst)"""
+
+
 def sliding_over(rows: str, name: str) -> str:
     """Rows under a full sliding window, with the highest count."""
     return f""",
@@ -689,6 +703,16 @@ def core_sql() -> dict[str, str]:
             SLIDING, "SELECT customer_id, window_start, transaction_count FROM sliding"
         ),
         "sliding_alerts": q(SLIDING, alert + "sliding_alerts"),
+        "interval_alerts": q(
+            BURSTS,
+            f"SELECT {columns}, burst_start, burst_end FROM bursts JOIN large USING (customer_id) "
+            "WHERE txn_timestamp >= burst_start AND txn_timestamp < burst_end",
+        ),
+        "interval_windows": q(
+            SLIDING,
+            f"SELECT {columns}, window_start FROM sliding JOIN large USING (customer_id) "
+            "WHERE txn_timestamp >= window_start AND txn_timestamp < window_start + INTERVAL 1 day",
+        ),
         "alert_cells": q(
             ALERTS,
             " UNION ALL ".join(
