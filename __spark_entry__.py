@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from txnlens.fixtures import transactions_from_events  # noqa: E402
 from txnlens.functions.cells import amount_text, cell_map, row_key  # noqa: E402
 from txnlens.operators import bursts, cleaning, intervals, quality, sliding, summary  # noqa: E402
-from txnlens.plans import reports, suite, transform  # noqa: E402
+from txnlens.plans import reports, states, suite, transform  # noqa: E402
 from txnlens.schema import ALERT_COLUMNS, REJECTED_TABLE, REPORT_TABLES, layout  # noqa: E402
 from txnlens.session import scratch_dir  # noqa: E402
 from txnlens.sinks import alerts as alert_table  # noqa: E402
@@ -174,8 +174,11 @@ def built_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy(F.col("quarantine_reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def loaded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries by day: the first lacks rows of the days from the 15th on, which the second holds whole."""
+def deliveries(spark: SparkSession, sf_dir: str, then: Callable[..., None] | None = None) -> tuple[str, str]:
+    """Two deliveries by day: the first lacks rows of the days from the 15th on, which the second holds whole.
+
+    ``then`` is called after each with its days; the database and location of the tables.
+    """
     location = scratch_dir(spark, "days")
     db = "txnlens_" + location.rsplit("-", 1)[1]
     tables.create_database(spark, db, f"{location}/db")
@@ -183,7 +186,14 @@ def loaded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part, rows in enumerate(((day <= 20) & ((day < 15) | (F.col("transaction_id") % 3 == 0)), day >= 15)):
         out = records(spark, sf_dir).filter(rows).withColumn("txn_timestamp", F.col("txn_timestamp").cast("string"))
         out.withColumnRenamed("txn_timestamp", "timestamp").write.csv(f"{location}/csv-{part}", header=True)
-        transform.load_days(spark, f"{location}/csv-{part}", db=db, location=location)
+        days = transform.load_days(spark, f"{location}/csv-{part}", db=db, location=location)
+        if then:
+            then(spark, days, db=db, location=location)
+    return db, location
+
+
+def loaded_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    db, _ = deliveries(spark, sf_dir)
     loaded = without_zone(catalog.load_table(spark, "transactions", db))
     return loaded.withColumn("txn_date", F.col("txn_date").cast("string"))
 
@@ -192,6 +202,17 @@ def report_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The run that writes all reports; all rows of each table, as text."""
     db, location = saved_tables(spark, sf_dir)
     suite.run_reports(spark, db=db, location=location)
+    return all_report_rows(spark, db)
+
+
+def incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from daily states, kept as two deliveries arrive."""
+    db, location = deliveries(spark, sf_dir, then=states.update_states)
+    states.run_reports_from_states(spark, db=db, location=location)
+    return all_report_rows(spark, db)
+
+
+def all_report_rows(spark: SparkSession, db: str) -> DataFrame:
     texts = [row_texts(catalog.load_table(spark, table, db), name) for name, table in REPORT_TABLES.items()]
     out = texts[0]
     for df in texts[1:]:
@@ -386,6 +407,7 @@ def core_queries() -> dict[str, Query]:
         ),
         **{f"rollup_{name}": report_from_rollups(name) for name in ROLLUP_REPORTS},
         "report_tables": report_tables,
+        "incremental_reports": incremental_reports,
         "loaded_days": loaded_days,
         "csv_scan": csv_scan,
         "csv_scan_positional": csv_scan_positional,
@@ -763,4 +785,5 @@ def core_sql() -> dict[str, str]:
     result["report_tables"] = " UNION ALL ".join(
         f"SELECT '{name}' AS report, concat_ws('|', {REPORT_CELLS[name]}) AS cells FROM ({result[name]})" for name in REPORT_TABLES
     )
+    result["incremental_reports"] = result["report_tables"]
     return result

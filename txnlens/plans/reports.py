@@ -122,13 +122,16 @@ def high_value_per_day(clean: DataFrame, threshold: float = HIGH_VALUE, calendar
 
 def failed_over_limit(raw: DataFrame, limit: int = 3, calendar: bool = False) -> DataFrame:
     """Customers with more than ``limit`` failed transactions in a day, once per such day."""
-    return (
+    counts = (
         raw.where(F.col("status") == FAILED)
         .groupBy("customer_id", day_of(calendar).alias("txn_day"))
         .agg(txn_count().alias("no_of_failed_txn"))
-        .where(F.col("no_of_failed_txn") > limit)
-        .select("customer_id")
     )
+    return over_limit(counts, limit)
+
+
+def over_limit(counts: DataFrame, limit: int = 3) -> DataFrame:
+    return counts.where(F.col("no_of_failed_txn") > limit).select("customer_id")
 
 
 def all_channels_in_week(

@@ -8,8 +8,6 @@ as large as the data, are not.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,10 +15,15 @@ from txnlens.functions.money import exact_sum, mean_of, rounded
 from txnlens.plans import reports
 from txnlens.schema import CLEAN_TABLE, RAW_TABLE, REPORT_TABLES, WITHDRAWAL
 from txnlens.session import require_utc
-from txnlens.sinks.tables import create_database, save_table
+from txnlens.sinks.editions import name_tables, publish
+from txnlens.sinks.tables import add_rows, create_database
 from txnlens.sources.catalog import load_table
 
 
+#: Folder of the report tables' editions.
+EDITIONS = "reports"
+
+
 def customer_rollup(clean: DataFrame) -> DataFrame:
     """Counts and exact sums per customer and month; ``withdrawn`` is NULL without withdrawals."""
     is_withdrawal = F.col("transaction_type") == WITHDRAWAL
@@ -41,8 +44,8 @@ def time_rollup(clean: DataFrame) -> DataFrame:
     )
 
 
-def build_reports(raw: DataFrame, clean: DataFrame, customers: DataFrame, times: DataFrame) -> dict[str, DataFrame]:
-    """The reports by name, from the tables and the two rollups."""
+def rollup_reports(customers: DataFrame, times: DataFrame) -> dict[str, DataFrame]:
+    """The reports that the two rollups hold all of."""
     n = F.sum("n")
     volume = [
         n.alias("no_of_transaction"),
@@ -66,42 +69,55 @@ def build_reports(raw: DataFrame, clean: DataFrame, customers: DataFrame, times:
         "avg_amount_by_channel": times.groupBy("channel").agg(
             mean_of(F.sum("total"), F.sum("n_amounts")).alias("avg_amount")
         ),
-        "success_rate_by_channel": reports.success_rate_by_channel(raw),
         "hourly_trend": reports.top_hours(times.groupBy("txn_hour").agg(*volume), 10),
         "daily_volume": times.groupBy("txn_day").agg(*volume).orderBy("txn_day"),
+    }
+
+
+def build_reports(raw: DataFrame, clean: DataFrame, customers: DataFrame, times: DataFrame) -> dict[str, DataFrame]:
+    """The reports by name, from the tables and the two rollups."""
+    return rollup_reports(customers, times) | {
+        "success_rate_by_channel": reports.success_rate_by_channel(raw),
         "high_value_per_day": reports.high_value_per_day(clean),
         "failed_over_limit": reports.failed_over_limit(raw),
         "all_channels_in_week": reports.all_channels_in_week(clean, channels=times),
     }
 
 
+def write_reports(
+    spark: SparkSession, built: dict[str, DataFrame], *, db: str, location: str, mode: str = "overwrite", at_once: int = 4
+) -> list[str]:
+    """Write report tables, ``at_once`` of them together; their names.
+
+    They are published as one edition under ``location``/reports, so a report that fails leaves the tables of the run before.
+    ``mode='append'`` adds to the tables one by one instead.
+    """
+    named = {REPORT_TABLES[name]: report for name, report in built.items()}
+    if mode == "overwrite":
+        path = f"{location.rstrip('/')}/{EDITIONS}"
+        publish(named, path, at_once=at_once)
+        return name_tables(spark, path, db)
+    for table, report in named.items():
+        add_rows(report, table, db=db, location=location)
+    return list(named)
+
+
 def run_reports(
     spark: SparkSession, *, db: str, location: str, mode: str = "overwrite", at_once: int = 4
 ) -> list[str]:
     """Write all report tables from the saved raw and clean tables; returns their names.
 
-    A rerun replaces them; ``mode='append'`` adds to them. ``at_once`` reports run
-    together, so that executors do not idle at the end of each.
+    A rerun replaces them; ``mode='append'`` adds to them.
     """
     require_utc(spark)
     create_database(spark, db)
     raw, clean = load_table(spark, RAW_TABLE, db), load_table(spark, CLEAN_TABLE, db)
     customers, times = customer_rollup(clean).persist(), time_rollup(clean).persist()
     built = build_reports(raw, clean, customers, times)
-
-    def write(name: str) -> str:
-        try:
-            save_table(built[name], REPORT_TABLES[name], db=db, location=location, mode=mode)
-        except Exception as error:
-            error.add_note(f"report {name} was not written")
-            raise
-        return REPORT_TABLES[name]
-
     try:
         for rollup in (customers, times):  # before reports that share one start together
             rollup.count()
-        with ThreadPoolExecutor(at_once) as pool:
-            return list(pool.map(write, built))
+        return write_reports(spark, built, db=db, location=location, mode=mode, at_once=at_once)
     finally:
         customers.unpersist()
         times.unpersist()

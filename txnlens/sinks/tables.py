@@ -83,6 +83,14 @@ def fill_table(df: DataFrame, table: str, *, db: str) -> None:
     as_declared(df, df.sparkSession.read.table(f"{db}.{table}").schema).write.mode("overwrite").insertInto(f"{db}.{table}")
 
 
+def add_rows(df: DataFrame, table: str, *, db: str, location: str) -> None:
+    """Adds rows to a table, whose columns and types stay, or makes it under ``location``."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(f"{db}.{table}"):
+        return save_table(df, table, db=db, location=location)
+    as_declared(df, spark.read.table(f"{db}.{table}").schema).write.mode("append").insertInto(f"{db}.{table}")
+
+
 _WIDER = ["tinyint", "smallint", "int", "bigint", "float", "double"]
 
 
