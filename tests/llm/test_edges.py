@@ -326,6 +326,16 @@ def test_sections_do_not_share_a_verdict_for_being_many(spark, n):
     assert {big[f"/{s}/0"] for s in names[:2]} == {(f"/{s}/{{n}}", "allow") for s in names[:2]}
 
 
+@pytest.mark.parametrize("n", [12, 14, 19, 20, 21, 22, 60])
+def test_labels_that_agree_speak_for_any_number_of_names(spark, n):
+    names = ["".join(chr(97 + int(c)) for c in f"{i:03}") for i in range(n)]
+    paths = [f"/{s}/{i}" for s in names for i in range(3)]
+    got = verdicts(spark, [*paths, "/new/1"], [("block", "x.de", f"/{s}/") for s in names[:12]])
+    assert len(got) == 3 * (n - 12) + 1 and set(got.values()) == {("/*/{n}", "block")}
+    few = verdicts(spark, [*paths, "/new/1"], [("block", "x.de", f"/{s}/") for s in names[:8]])
+    assert {v for _, v in few.values()} == {"allow"}
+
+
 def test_wildcards_speak_for_names_where_labels_agree(spark):
     names = ["".join(chr(97 + int(c)) for c in f"{i:03}") for i in range(120)]
     paths = [f"/{s}/{i}" for s in names for i in range(5)]

@@ -2,9 +2,10 @@
 
 Fixed rules come first. Their verdicts are also the labels the rest is judged by.
 Per host, a path's segments are generalised level by level: a segment with a digit
-becomes ``{n}``; where a node has more than MOST_CHILDREN rare segments below it,
-those become ``*``, but a labelled one only if LEAST others are labelled and it does
-not differ from them. Then templates that differ in one segment are merged if each
+becomes ``{n}``; rare segments of a node become ``*``, but labelled ones only if more than
+LEAST of them are labelled and they do not differ, however many there are besides. Where
+they don't, unlabelled ones become ``*`` by themselves if there are more than MOST_CHILDREN, which
+shortens the table and decides no verdict. Then templates that differ in one segment are merged if each
 has LEAST labels of its own and its share of blocked ones does not differ
 significantly from that of the whole group. So no branch inherits the labels of one
 sibling. What is left are templates; one whose share of blocked labels, smoothed
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from txnlens.llm.common import materialize, table
 
-#: Rare segments that a node may have apart.
+#: Rare segments that a node may have apart, and members that a merged segment names.
 MOST_CHILDREN = 20
 #: Expected share of blocked pages, and how many labelled pages that is worth.
 PRIOR, STRENGTH = 0.2, 4.0
@@ -94,9 +95,9 @@ def varying(df: DataFrame, by: list[str], more_than: int) -> list[int]:
 
 
 def generalise(paths: DataFrame, level: int) -> DataFrame:
-    """Makes one wildcard of a node's rare segments where they are too many.
+    """Makes one wildcard of a node's rare segments where enough of them are labelled, or where they are very many.
 
-    Unlabelled ones always join. Labelled ones join, and so speak for the others,
+    Unlabelled ones join then. Labelled ones join, and so speak for the others,
     if there are enough of them and they agree: those that differ from the rest
     stay, and if these are many, or what remains scatters more than chance does, all stay.
     """
@@ -108,7 +109,8 @@ def generalise(paths: DataFrame, level: int) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("labelled") > 0).alias("n_labelled"),
         F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"),
     )
-    many = rare.join(totals.filter(F.col("n") > MOST_CHILDREN), ["host", "node"])
+    judged = totals.filter((F.col("n_labelled") > LEAST) | (F.col("n") > MOST_CHILDREN))
+    many = rare.join(judged, ["host", "node"])
     rest = (F.col("all_labelled") - F.col("labelled"), F.col("all_blocked") - F.col("blocked"))
     like = (F.col("labelled") > 0) & (F.col("n_labelled") > LEAST) & ~apart((F.col("labelled"), F.col("blocked")), rest)
     many = many.select("host", "node", "seg", "labelled", "blocked", "n_labelled", like.alias("like"))
@@ -183,7 +185,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pages"), F.count("label").alias("labelled"), F.count_if("label").alias("blocked")
     )
     paths = materialize(spark, paths.withColumn("segs", F.col("shape")), "url-paths")
-    for level in varying(paths, ["host"], MOST_CHILDREN):
+    for level in varying(paths, ["host"], LEAST):  # more than LEAST labelled ones are at least as many segments
         paths = materialize(spark, generalise(paths, level), "url-paths")
     counts = [F.sum(c).alias(c) for c in ("pages", "labelled", "blocked")]
     known = paths.groupBy("host", "segs").agg(*counts[1:]).filter(F.col("labelled") >= LEAST)
