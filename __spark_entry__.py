@@ -212,6 +212,12 @@ def incremental_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_report_rows(spark, db)
 
 
+def all_channels_last_week_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last week from tables kept by day."""
+    db, _ = deliveries(spark, sf_dir, then=states.update_states)
+    return states.last_week_from_days(spark, db=db)
+
+
 def all_report_rows(spark: SparkSession, db: str) -> DataFrame:
     texts = [row_texts(catalog.load_table(spark, table, db), name) for name, table in REPORT_TABLES.items()]
     out = texts[0]
@@ -405,6 +411,7 @@ def core_queries() -> dict[str, Query]:
         "all_channels_last_week": lambda spark, sf_dir: reports.all_channels_in_week(
             clean(spark, sf_dir), as_of=clean(spark, sf_dir).agg(F.max("txn_timestamp")).scalar()
         ),
+        "all_channels_last_week_by_day": all_channels_last_week_by_day,
         **{f"rollup_{name}": report_from_rollups(name) for name in ROLLUP_REPORTS},
         "report_tables": report_tables,
         "incremental_reports": incremental_reports,
@@ -423,6 +430,7 @@ def core_queries() -> dict[str, Query]:
         "channel_sets": on(clean, summary.channel_sets),
         "describe_amount": on(raw, summary.describe_amount),
         "describe_columns": on(clean, summary.describe_columns, columns=DESCRIBED),
+        "describe_fields": on(clean, summary.describe_fields, columns=[*FIELDS]),
         "fraud_windows": on(withdrawals, bursts.fraud_windows, window=WINDOW),
         "fraud_alerts": alerts,
         "fraud_alerts_reason": on(alerts, bursts.with_reasons, window=WINDOW),
@@ -463,6 +471,8 @@ REPORT_CELLS = {
     }.items()
 }
 DESCRIBED = ["amount", "txn_day", "txn_hour", "high_value_flag"]
+#: Fields that are described, and whether they are numbers.
+FIELDS = {"transaction_id": True, "amount": True, "txn_day": True, "channel": False, "transaction_type": False, "txn_timestamp": False}
 ROLLUP_REPORTS = [
     "top_customers",
     "top_withdrawal_customer",
@@ -707,6 +717,15 @@ def core_sql() -> dict[str, str]:
                 for c in DESCRIBED
             ),
         ),
+        "describe_fields": q(
+            CLEAN,
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS field, count({c}) AS n, "
+                + (f"{MEAN.replace('amount', c)} AS mean, round(stddev_samp({c}), 4) AS stddev" if number else "NULL AS mean, NULL AS stddev")
+                + f", CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max FROM clean"
+                for c, number in FIELDS.items()
+            ),
+        ),
         "fraud_windows": q(FLAGGED, "SELECT * FROM flagged"),
         "fraud_alerts": q(ALERTS, alert + "alerts"),
         "fraud_alerts_reason": q(
@@ -786,4 +805,5 @@ def core_sql() -> dict[str, str]:
         f"SELECT '{name}' AS report, concat_ws('|', {REPORT_CELLS[name]}) AS cells FROM ({result[name]})" for name in REPORT_TABLES
     )
     result["incremental_reports"] = result["report_tables"]
+    result["all_channels_last_week_by_day"] = result["all_channels_last_week"]
     return result

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from txnlens.functions.durations import interval
 from txnlens.functions.money import exact_sum, mean_of, percent, rounded
+from txnlens.operators.channels import users_of_every_channel
 from txnlens.schema import FAILED, HIGH_VALUE, SUCCESS, WITHDRAWAL
 
 
@@ -145,9 +146,9 @@ def all_channels_in_week(
 
     Windows are counted from 1970-01-01. With ``as_of`` there is one window, the
     one that ends at that time. ``channels`` names the channels that count, by
-    default all in ``clean``, in whatever window; their number is a scalar subquery of the same job.
+    default all in ``clean``, in whatever window; a job of its own lists them.
     """
-    in_use = (clean if channels is None else channels).agg(F.count_distinct("channel")).scalar()
+    every = clean if channels is None else channels
     if channels is not None:
         clean = clean.join(F.broadcast(channels.select("channel").distinct()), "channel", "left_semi")
     if as_of is None:
@@ -156,11 +157,5 @@ def all_channels_in_week(
         at = F.col("txn_timestamp")
         clean = clean.where((at > as_of - interval(window)) & (at <= as_of))
         start = F.lit(0)
-    return (
-        clean.select("customer_id", "channel", start.alias("window_start"))
-        .distinct()
-        .groupBy("customer_id", "window_start")
-        .agg(F.count("channel").alias("used"))
-        .where(F.col("used") == in_use)
-        .select("customer_id")
-    )
+    rows = clean.select("customer_id", "channel", start.alias("window_start"))
+    return users_of_every_channel(rows, every, "customer_id", "window_start").select("customer_id")

@@ -14,14 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnlens.functions.durations import interval
 from txnlens.functions.money import exact_sum, percent
 from txnlens.plans import reports
 from txnlens.plans.suite import rollup_reports, write_reports
 from txnlens.plans.transform import DAY, drop_day
-from txnlens.schema import FAILED, HIGH_VALUE, RAW_TABLE, SUCCESS, WITHDRAWAL
+from txnlens.schema import CLEAN_TABLE, FAILED, HIGH_VALUE, RAW_TABLE, SUCCESS, WITHDRAWAL
 from txnlens.session import require_utc
 from txnlens.sinks.tables import create_database, create_table, replace_partitions
-from txnlens.sources.catalog import load_table
+from txnlens.sources.catalog import load_table, table_partitions
 
 STATES_TABLE = "daily_states"
 CUSTOMERS, HOURS = "customers", "hours"
@@ -135,3 +136,31 @@ def run_reports_from_states(
     require_utc(spark)
     built = reports_from_states(load_table(spark, STATES_TABLE, db))
     return write_reports(spark, built, db=db, location=location, mode=mode, at_once=at_once)
+
+
+def last_week_from_days(spark: SparkSession, *, db: str, window: str = "7 days") -> DataFrame:
+    """Customers who used every channel in the window that ends with the newest transaction, from the tables ``load_days`` keeps.
+
+    The newest day is told by the table's partitions and the newest time by that day's rows; the channels by the
+    saved states. So all that is scanned of the rows is the days of the window.
+    """
+    require_utc(spark)
+    clean = load_table(spark, CLEAN_TABLE, db)
+    as_of = F.timestamp_micros(F.lit(newest_micros(spark, db)).cast("long"))
+    in_window = F.col(DAY).between(F.to_date(as_of - interval(window)), F.to_date(as_of))
+    channels = load_table(spark, STATES_TABLE, db).where((F.col("kind") == HOURS) & (F.col("rows") > 0))
+    return reports.all_channels_in_week(clean.where(in_window), window, as_of=as_of, channels=channels)
+
+
+def newest_micros(spark: SparkSession, db: str, table: str = CLEAN_TABLE) -> int | None:
+    """The newest ``txn_timestamp`` in microseconds, from the newest day that has a row; None without rows."""
+    day = F.substring_index("partition", "=", -1).cast("date").alias(DAY)
+    days = table_partitions(spark, table, db).select(day).where(F.col(DAY).isNotNull())
+    rows, before = load_table(spark, table, db), F.lit(True)
+    while (newest := days.where(before).agg(F.max(DAY).cast("string")).first()[0]) is not None:
+        of_day = F.col(DAY) == F.lit(newest).cast("date")
+        found = rows.where(of_day).agg(F.max(F.unix_micros("txn_timestamp"))).first()[0]
+        if found is not None:
+            return found
+        before = F.col(DAY) < F.lit(newest).cast("date")
+    return None
