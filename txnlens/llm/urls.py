@@ -9,7 +9,9 @@ shortens the table and decides no verdict. Then templates that differ in one seg
 has LEAST labels of its own and its share of blocked ones does not differ
 significantly from that of the whole group. So no branch inherits the labels of one
 sibling. What is left are templates; one whose share of blocked labels, smoothed
-towards a prior, reaches REJECT is rejected, and one without labels is not.
+towards a prior, reaches REJECT is rejected. The prior comes from the nodes above: each
+labelled branch of a node is one vote at most, however many pages it has, so that
+one blocked section says little of others and many say much; evidence is discounted per level.
 
 The tree is kept as a table of paths with counts, from which each level takes a
 few sums by host and node; nothing gathers a host's pages.
@@ -24,9 +26,13 @@ from txnlens.llm.common import materialize, table
 
 #: Rare segments that a node may have apart, and members that a merged segment names.
 MOST_CHILDREN = 20
-#: Expected share of blocked pages, and how many labelled pages that is worth.
+#: Share of blocked pages to expect where nothing is known, and how many labelled pages, or votes, a prior is worth.
 PRIOR, STRENGTH = 0.2, 4.0
 REJECT = 0.5
+#: What is left of a node's departure from PRIOR one level further down.
+DISCOUNT = 0.75
+#: Parts of a vote, so that votes add up alike in any order.
+VOTE = 1_000_000
 #: Standard errors by which the shares of what is pooled may differ.
 SIGMAS = 1.96
 #: From so many pages on, a segment is no rare one; from so many labels on, a template's share can be compared.
@@ -56,10 +62,10 @@ def path_of(url: Column) -> Column:
 
 def rule_column(rules, value) -> Column:
     """Of the longest rule that fits host and path; of two as long, the first."""
-    out = F.lit(None).cast("string")
-    for rule in sorted(rules, key=lambda r: len(r[1] + r[2])):
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for rule in sorted(rules, key=lambda r: -len(r[1] + r[2])):
         fits = ((F.col("host") == rule[1]) | F.endswith("host", F.lit("." + rule[1]))) & F.startswith("path", F.lit(rule[2]))
-        out = F.when(fits, F.lit(value(rule))).otherwise(out)
+        out = out.when(fits, F.lit(value(rule)))
     return out
 
 
@@ -76,8 +82,8 @@ def _put(level: int, value: Column) -> Column:
     return F.transform("segs", lambda x, i: F.when(i == level, value).otherwise(x))
 
 
-def share_of(labelled: Column, blocked: Column) -> Column:
-    return (blocked + PRIOR * STRENGTH) / (labelled + STRENGTH)
+def share_of(labelled: Column, blocked: Column, prior: Column) -> Column:
+    return (blocked + prior * STRENGTH) / (labelled + STRENGTH)
 
 
 def apart(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
@@ -175,6 +181,44 @@ def merge(known: DataFrame, level: int) -> DataFrame:
     )
 
 
+def prefix(length: Column) -> Column:
+    """A hash that stands for the first segments."""
+    return F.xxhash64(F.slice("segs", F.lit(1), length), length)
+
+
+def priors(paths: DataFrame) -> DataFrame:
+    """(host, segs, prior): the share of blocked pages to expect by the votes of the branches of all nodes above.
+
+    ``paths`` has host, segs, labelled and blocked. A branch with n labels votes with weight
+    n / (n + STRENGTH). From the host down, a node's share is that of its votes, smoothed towards what the node
+    above leaves of its own. All levels are made in one pass over the prefixes of paths; a path above many others is
+    taken once, and a node gives sums only.
+    """
+    depth = F.size("segs")
+    sums = [F.sum(c).alias(c) for c in ("labelled", "blocked")]
+    known = paths.groupBy("host", "segs").agg(*sums).filter((F.col("labelled") > 0) & (depth > 0))
+    steps = F.transform(F.sequence(F.lit(1), depth), lambda d: F.struct(prefix(d - 1).alias("above"), prefix(d).alias("node")))
+    branches = known.select("host", "labelled", "blocked", F.inline(steps)).groupBy("host", "above", "node").agg(*sums)
+    weight = F.col("labelled") / (F.col("labelled") + STRENGTH)
+    parts = {"votes": weight, "against": weight * F.col("blocked") / F.col("labelled")}
+    votes = branches.groupBy("host", F.col("above").alias("node")).agg(
+        *[F.sum(F.floor(part * VOTE)).alias(name) for name, part in parts.items()]
+    )
+    parent = F.slice("segs", F.lit(1), F.greatest(depth - 1, F.lit(0)))
+    parents = paths.select("host", parent.alias("segs")).distinct()
+    nodes = F.transform(F.sequence(F.lit(0), depth), lambda d: F.struct(d.alias("level"), prefix(d).alias("node")))
+    above = parents.select("host", "segs", F.inline(nodes)).join(votes, ["host", "node"], "left")
+    counted = [F.coalesce(F.col(c) / VOTE, F.lit(0.0)).alias(c) for c in parts]
+    listed = above.groupBy("host", "segs").agg(F.array_sort(F.collect_list(F.struct("level", *counted))).alias("nodes"))
+
+    def down(prior: Column, x: Column) -> Column:
+        return PRIOR + DISCOUNT * (share_of(x["votes"], x["against"], prior) - PRIOR)
+
+    found = listed.select("host", F.col("segs").alias("parent"), F.aggregate("nodes", F.lit(PRIOR), down).alias("prior"))
+    each = paths.select("host", "segs").distinct().withColumn("parent", parent)
+    return each.join(found, ["host", "parent"]).select("host", "segs", "prior")
+
+
 def templates(pages: DataFrame) -> DataFrame:
     """(host, shape, template, purity, n_pages): each generalised path's template and its smoothed share of blocked pages.
 
@@ -194,10 +238,12 @@ def templates(pages: DataFrame) -> DataFrame:
     for level in reversed(varying(sized, ["host", "depth"], 1)):
         known = materialize(spark, merge(known, level), "url-templates")
     new = known.select("host", F.col("old").alias("segs"), F.col("segs").alias("merged"))
-    paths = paths.join(new, ["host", "segs"], "left").withColumn("segs", F.coalesce("merged", "segs")).drop("merged")
+    # Branches vote before they are merged; a merged template takes the least prior of its parts.
+    paths = paths.join(priors(paths), ["host", "segs"]).join(new, ["host", "segs"], "left").withColumn("segs", F.coalesce("merged", "segs")).drop("merged")
     paths = materialize(spark, paths, "url-paths")
-    sums = paths.groupBy("host", "segs").agg(*counts)
-    rated = sums.select("host", "segs", share_of(F.col("labelled"), F.col("blocked")).alias("purity"), F.col("pages").alias("n_pages"))
+    sums = paths.groupBy("host", "segs").agg(*counts, F.min("prior").alias("prior"))
+    purity = share_of(F.col("labelled"), F.col("blocked"), F.col("prior")).alias("purity")
+    rated = sums.select("host", "segs", purity, F.col("pages").alias("n_pages"))
     template = F.concat(F.lit("/"), F.array_join("segs", "/")).alias("template")
     return paths.select("host", "shape", "segs").join(rated, ["host", "segs"]).select("host", "shape", template, "purity", "n_pages")
 
