@@ -1,0 +1,191 @@
+"""op3_language and op4_quality against plain loops over letters, words and features."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tests.conftest import SF_DIR
+from txnlens.llm import language, quality
+
+MASK = (1 << 64) - 1
+SALTS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def remainder(doc, divisor):
+    return zlib.crc32(("" if doc is None else str(doc)).encode()) % divisor
+
+
+def mix(x):
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = ((x ^ x >> shift) * factor) & MASK
+    return x ^ x >> 31
+
+
+# ------------------------------------------------------------------ language
+
+
+def plain_words(text):
+    """(trigram buckets, script of the first letter) of each word."""
+    points = " " + (text or "").lower() + " "
+    points = [c if c.isalpha() else " " for c in points]
+    words, previous = [], " "
+    for before, c, after in zip(points, points[1:], points[2:]):
+        if c != " ":
+            script = [name for start, name in language.SCRIPTS if start <= ord(c)][-1]
+            if previous == " ":
+                words.append(([], []))
+            words[-1][0].append(mix(ord(before) << 42 ^ ord(c) << 21 ^ ord(after)) % language.BUCKETS)
+            words[-1][1].append(script)
+        previous = c
+    return words
+
+
+def plain_languages(docs):
+    """(language, share of letters) by doc_id."""
+    grams, scripts = defaultdict(Counter), defaultdict(Counter)
+    for doc, lang, text in docs:
+        if lang is not None and remainder(doc, 4) != 2:
+            grams[lang], scripts[lang] = grams[lang], scripts[lang]
+            for buckets, used in plain_words(text):
+                grams[lang].update(buckets)
+                scripts[lang].update(used)
+    langs = sorted(grams)
+    floor = language.SMOOTHING * language.BUCKETS
+    totals = {lang: grams[lang].total() + floor for lang in langs}
+    uses = {lang: {s for s, n in scripts[lang].items() if n >= language.SCRIPT_SHARE * max(1, scripts[lang].total())} for lang in langs}
+    out = {}
+    for doc, _, text in docs:
+        words = plain_words(text)
+        if not words:
+            out[doc] = ("und", 0.0)
+            continue
+        paths = {lang: (0.0, ()) for lang in langs}  # value, and the labels as a linked list
+        for buckets, used in words:
+            allowed = [lang for lang in langs if used[0] in uses[lang]] or langs
+            best = max(langs, key=lambda lang: paths[lang][0])
+            step = {}
+            for lang in langs:
+                value, labels = paths[lang]
+                if value < paths[best][0] - language.PENALTY:
+                    value, labels = paths[best][0] - language.PENALTY, paths[best][1]
+                logs = (math.log((grams[lang][b] + language.SMOOTHING) / totals[lang]) for b in buckets)
+                step[lang] = (value + sum(logs) if lang in allowed else -math.inf, (lang, len(buckets), labels))
+            paths = step
+        letters = Counter()
+        labels = max((paths[lang] for lang in langs), key=lambda path: path[0])[1]
+        while labels:
+            lang, n, labels = labels
+            letters[lang] += n
+        top = max(langs, key=lambda lang: letters[lang])
+        out[doc] = (top, letters[top] / letters.total())
+    return out
+
+
+def test_languages_equal_a_plain_model(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang", "text").collect()]
+    want = plain_languages(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.op3_language(spark, SF_DIR).collect()}
+    assert {doc: lang for doc, (lang, _) in got.items()} == {doc: lang for doc, (lang, _) in want.items()}
+    assert {doc: x for doc, (_, x) in got.items()} == pytest.approx({doc: x for doc, (_, x) in want.items()}, abs=1e-9)
+
+
+def test_languages_of_mixed_and_odd_texts_equal_a_plain_model(spark, tmp_path):
+    rng = random.Random(11)
+    vocabulary = {
+        "aa": ["ba", "bab", "baba", "abba"],
+        "bb": ["lo", "lolo", "oll", "öl"],
+        "cc": ["да", "дада", "ад"],
+        "dd": ["ба", "лоло", "ал"],
+    }
+    docs = [(None, "aa", "ba ba"), (10_000, None, None), (10_001, "bb", ""), (10_002, "cc", "12 + 3"), (10_003, None, "漢字 漢"), (10_004, None, "İ ß DŽ")]
+    for i in range(300):
+        langs = rng.sample(sorted(vocabulary), rng.choice([1, 1, 2, 3]))
+        words = [w for lang in langs for w in rng.choices(vocabulary[lang], k=rng.randint(1, 12))]
+        docs.append((i, langs[0] if len(langs) == 1 else None, rng.choice([" ", "-", "\n"]).join(words)))
+    spark.createDataFrame(docs, "doc_id long, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = plain_languages(docs)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.op3_language(spark, str(tmp_path)).collect()}
+    assert {doc: (lang, round(x, 9)) for doc, (lang, x) in got.items()} == {doc: (lang, round(x, 9)) for doc, (lang, x) in want.items()}
+
+
+# ------------------------------------------------------------------- quality
+
+
+def plain_word_hash(word):
+    total = sum((byte + (place >> 12) * 257) * pow(0xD6E8FEB86659FD93, (place & 4095) + 1, 1 << 64) for place, byte in enumerate(word))
+    return mix(total + len(word) & MASK)
+
+
+def plain_features(text):
+    data = (text or "").encode()
+    words = [plain_word_hash(w) for w in re.findall(rb"[^\x20\x09-\x0D]+", data.lower())]
+    found = words + [mix((a * SALTS[0] + b) & MASK) for a, b in zip(words, words[1:])]
+    for n, salt in ((3, SALTS[0]), (4, SALTS[1])):
+        found += [mix(int.from_bytes(data[i : i + n], "little") ^ salt) for i in range(len(data) - n + 1)]
+    return Counter(x % quality.BUCKETS for x in found)
+
+
+def plain_scores(docs, labels):
+    """Score by doc_id, from plain gradient descent feature by feature."""
+    text_of = dict(docs)
+    rows = sorted((doc, y) for doc, y in set(labels) if y in (0, 1) and remainder(doc, 5) != 0 and doc in text_of)
+    rows = [(features, y) for doc, y in rows if (features := plain_features(text_of[doc]))]
+    size = range(quality.DIMENSIONS)
+    rng = np.random.default_rng(quality.SEED)
+    start = rng.uniform(-1 / quality.DIMENSIONS, 1 / quality.DIMENSIONS, (quality.BUCKETS, quality.DIMENSIONS))
+    vectors = defaultdict(list)
+    for features in [f for f, _ in rows] + [plain_features(text) for _, text in docs]:
+        for b in features:
+            vectors[b] = vectors[b] or start[b].tolist()
+    ones = sum(y for _, y in rows)
+    layer, bias = [[0.0] * len(size), [0.0] * len(size)], [math.log((len(rows) - ones) / len(rows)), math.log(ones / len(rows))]
+    steps, done = quality.EPOCHS * len(rows), 0
+    for _ in range(quality.EPOCHS):
+        for i in rng.permutation(len(rows)):
+            features, y = rows[i]
+            speed = quality.RATE * (1 - done / steps)
+            done += 1
+            hidden = [sum(n * vectors[b][d] for b, n in features.items()) / features.total() for d in size]
+            logits = [sum(layer[k][d] * hidden[d] for d in size) + bias[k] for k in (0, 1)]
+            odds = [math.exp(x - max(logits)) for x in logits]
+            error = [odds[k] / sum(odds) - (k == y) for k in (0, 1)]
+            back = [sum(error[k] * layer[k][d] for k in (0, 1)) for d in size]
+            for k in (0, 1):
+                bias[k] -= speed * 0.1 * error[k]
+                for d in size:
+                    layer[k][d] -= speed * error[k] * hidden[d]
+            most = max(features.values())
+            for b, n in features.items():
+                for d in size:
+                    vectors[b][d] -= speed * n / most * back[d]
+    out = {}
+    for doc, text in docs:
+        features = plain_features(text)
+        parts = [n * sum(vectors[b][d] * (layer[1][d] - layer[0][d]) for d in size) for b, n in features.items()]
+        margin = bias[1] - bias[0] + (sum(parts) / features.total() if features else 0.0)
+        out[doc] = 1 / (1 + math.exp(-margin))
+    return out
+
+
+def test_scores_equal_plain_gradient_descent(spark, tmp_path):
+    rng = random.Random(4)
+    good, bad = ["the", "River", "flows", "öfter", "to", "sea"], ["win", "CASH", "now", "$$$", "click", "to"]
+    docs, labels = [(900, None), (901, ""), (902, "ab"), (903, "x" * 5000), (904, " \t ")], [(901, 1), (903, 0), (777, 1)]
+    for i in range(60):
+        y = i % 2
+        docs.append((i, " ".join(rng.choices(good if y else bad, k=rng.randint(1, 25)))))
+        labels += [(i, y)] * rng.choice([1, 1, 2]) if i % 3 else [(i, None), (i, 7)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    want = plain_scores(docs, labels)
+    found = quality.op4_quality(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.score for r in found} == pytest.approx(want, abs=1e-3)
+    assert all(r.held_out == (remainder(r.doc_id, 5) == 0) and r.predicted == (r.score >= 0.3) for r in found)
+    assert max(want.values()) > 0.9 > 0.1 > min(want.values())  # it did learn
