@@ -189,3 +189,34 @@ def test_scores_equal_plain_gradient_descent(spark, tmp_path):
     assert {r.doc_id: r.score for r in found} == pytest.approx(want, abs=1e-3)
     assert all(r.held_out == (remainder(r.doc_id, 5) == 0) and r.predicted == (r.score >= 0.3) for r in found)
     assert max(want.values()) > 0.9 > 0.1 > min(want.values())  # it did learn
+
+
+def test_long_texts_in_pieces_give_the_same(spark, monkeypatch):
+    rows = [("aa", "ba bab baba, abba " * 40), ("bb", "lo lolo oll öl " * 40), ("cc", "да дада ад " * 40)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    whole = language.train(docs)
+    rng = random.Random(9)
+    odd = ["", "...", "ba", "İİ" * 30, "x" * 500, "  lo", "12 да 3"]
+    mixed = [" ".join(w for _ in range(20) for w in rng.choices(rng.choice(rows)[1].split(), k=9)) for _ in range(5)]
+    want = [next(language.label_texts(whole, [x])) for x in mixed + odd]
+    for limit in (1, 7, 64):
+        monkeypatch.setattr(language, "CHUNK_CHARS", limit)
+        monkeypatch.setattr(language.pieces, "__defaults__", (limit,))
+        assert [next(language.label_texts(whole, [x])) for x in mixed + odd] == want
+        for text in mixed + odd:
+            cut = list(language.pieces(text))
+            assert "".join(text[a:b] for a, b in cut) == text
+    # A training text in pieces counts the same.
+    bounded = language.Words([rows[0][1]])
+    parts = [language.Words([rows[0][1][a:b]]) for a, b in language.pieces(rows[0][1])]
+    assert sorted(bounded.bucket) == sorted(np.concatenate([p.bucket for p in parts]))
+
+
+def test_a_text_longer_than_a_piece(spark):
+    line = "ba bab baba abba, "
+    docs = spark.createDataFrame([(1, "aa", line * 60_000), (2, "bb", "lo oll")], "doc_id long, lang string, text string")
+    model = language.train(docs)
+    lines = spark.range(60_000).selectExpr("'aa' AS lang", f"'{line}' AS text").union(docs.filter("lang = 'bb'").select("lang", "text"))
+    assert (model.logs == language.train(lines).logs).all()
+    found = {r.doc_id: (r.lang_pred, r.score, len(r.spans), r.spans[0].end) for r in language.identify(docs, model).collect()}
+    assert found == {1: ("aa", 1.0, 1, 60_000 * len(line) - 2), 2: ("bb", 1.0, 1, 6)}

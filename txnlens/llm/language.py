@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnlens.llm.common import arrow_schema, chunks, id_remainder, mix64, record_batch, table
+from txnlens.llm.common import CHUNK_CHARS, arrow_schema, chunks, id_remainder, mix64, record_batch, table
 
 #: Buckets of trigrams (each holds a count per language), and counts added to each.
 BUCKETS, SMOOTHING = 1 << 16, 0.1
@@ -116,44 +116,80 @@ class Model:
         return np.where(allowed, out, -np.inf)
 
 
-def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int, penalty: float = PENALTY) -> np.ndarray:
-    """The best language of each word; all texts advance together, a word at a time.
+def forward(scores: np.ndarray, first: np.ndarray, alive: np.ndarray, value: np.ndarray, penalty: float) -> np.ndarray:
+    """From which language each word's best path to each language came; brings ``value`` forward.
 
-    Staying costs nothing and every switch the same, so a step needs only the best
-    language so far besides each language's own path.
+    Texts stand in order of falling length ``alive`` and advance together, a word at a time. Staying costs nothing and
+    every switch the same, so a step needs only the best language so far besides each language's own path.
     """
-    n = np.bincount(text, minlength=n_texts)
-    first = np.cumsum(n) - n
-    order = np.argsort(-n, kind="stable")
-    alive = n[order]
     n_langs = scores.shape[1]
     came = np.empty(scores.shape, np.int16 if n_langs < 32_000 else np.int32)
-    value = np.zeros((n_texts, n_langs))
     own = np.arange(n_langs)
-    steps = int(alive[0]) if n_texts else 0
-    active = n_texts
-    for t in range(steps):
+    active = len(alive)
+    for t in range(int(alive[0]) if active else 0):
         while active and alive[active - 1] <= t:
             active -= 1
-        rows = first[order[:active]] + t
+        rows = first[:active] + t
         v = value[:active]
         best = v.argmax(axis=1)
         switched = v[np.arange(active), best][:, None] - penalty
         stay = v >= switched
         came[rows] = np.where(stay, own, best[:, None])
         value[:active] = np.where(stay, v, switched) + scores[rows]
-    label = np.empty(len(scores), np.int64)
-    state = value.argmax(axis=1) if n_texts else np.empty(0, np.int64)
+    return came
+
+
+def backward(came: np.ndarray, first: np.ndarray, alive: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The language of each word on the best path of its text."""
+    label = np.empty(len(came), np.int64)
+    state = value.argmax(axis=1) if len(alive) else np.empty(0, np.int64)
     active = 0
-    for t in range(steps - 1, -1, -1):
-        while active < n_texts and alive[active] > t:
+    for t in range(int(alive[0]) - 1 if len(alive) else -1, -1, -1):
+        while active < len(alive) and alive[active] > t:
             active += 1
-        rows = first[order[:active]] + t
+        rows = first[:active] + t
         label[rows] = state[:active]
         state[:active] = came[rows, state[:active]]
     return label
 
 
+def viterbi(scores: np.ndarray, text: np.ndarray, n_texts: int, penalty: float = PENALTY) -> np.ndarray:
+    """The best language of each word."""
+    n = np.bincount(text, minlength=n_texts)
+    order = np.argsort(-n, kind="stable")
+    first, alive = (np.cumsum(n) - n)[order], n[order]
+    value = np.zeros((n_texts, scores.shape[1]))
+    came = forward(scores, first, alive, value, penalty)
+    return backward(came, first, alive, value)
+
+
+def pieces(text: str, limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
+    """Ranges of a text of about so many characters, cut beside characters that are no letters."""
+    start = 0
+    while start < len(text):
+        end = min(start + limit, len(text))
+        while end < len(text) and text[end - 1].isalpha() and text[end].isalpha():
+            end += 1
+        yield start, end
+        start = end
+
+
+class Pieces:
+    """What ``label_texts`` reads of Words, and labels, of one long text: a piece at a time, keeping a few numbers a word."""
+
+    def __init__(self, model: Model, text: str, penalty: float):
+        lowered = text.lower()
+        value = np.zeros((1, len(model.langs)))
+        zero, parts = np.zeros(1, np.int64), []
+        for start, end in pieces(lowered):
+            words = Words([lowered[start:end]])
+            came = forward(model.scores(words), zero, np.array([len(words.first)]), value, penalty)
+            parts.append((came, words.start + start, words.n_letters))
+        came, self.start, self.n_letters = (np.concatenate(x) for x in zip(*parts, strict=True))
+        self.label = backward(came, zero, np.array([len(came)]), value)
+        self.text, self.n_texts = np.zeros(len(came), np.int64), 1
+
+
 def train(docs: DataFrame) -> Model:
     """Counts of all texts with a lang. What reaches the driver is bounded by buckets and languages."""
     langs = sorted(r[0] for r in docs.filter("lang IS NOT NULL").select("lang").distinct().collect())
@@ -167,11 +203,16 @@ def train(docs: DataFrame) -> Model:
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for start, end in chunks(texts):
-                words = Words(texts[start:end])
-                lang = np.array([code[x] for x in names[start:end]], np.int64)[words.letter_text]
-                width = counts.shape[1]
-                for places in (words.bucket, BUCKETS + words.script):
-                    counts += np.bincount(lang * width + places, minlength=counts.size).reshape(counts.shape)
+                part, of = texts[start:end], np.array([code[x] for x in names[start:end]], np.int64)
+                if len(part) == 1 and len(part[0] or "") > CHUNK_CHARS:
+                    lowered = part[0].lower()
+                    each = (Words([lowered[a:b]]) for a, b in pieces(lowered))
+                else:
+                    each = (Words(part),)
+                for words in each:
+                    lang, width = of[words.letter_text], counts.shape[1]
+                    for places in (words.bucket, BUCKETS + words.script):
+                        counts += np.bincount(lang * width + places, minlength=counts.size).reshape(counts.shape)
         lang, bucket = np.nonzero(counts)
         arrays = [pa.array(x, field.type) for x, field in zip((lang, bucket, counts[lang, bucket]), arrow, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
@@ -189,8 +230,12 @@ def label_texts(model: Model, texts: list[str | None], penalty: float = PENALTY)
     if not model.langs:
         yield from ((UNKNOWN, 0.0, []) for _ in texts)
         return
-    words = Words(texts)
-    label = viterbi(model.scores(words), words.text, words.n_texts, penalty)
+    if len(texts) == 1 and len(texts[0] or "") > CHUNK_CHARS:
+        words = Pieces(model, texts[0], penalty)
+        label = words.label
+    else:
+        words = Words(texts)
+        label = viterbi(model.scores(words), words.text, words.n_texts, penalty)
     n_langs = len(model.langs)
     letters = np.bincount(words.text * n_langs + label, words.n_letters, words.n_texts * n_langs)
     letters = letters.reshape(words.n_texts, n_langs)
@@ -214,7 +259,8 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFra
     ``spans`` are [start, end) characters of the lower-cased text with a lang. A
     null text, one without letters, or a model without languages gives ``und``,
     score 0 and no spans; ties go to the first language by name. Repeated rows
-    each get their result. Columns besides doc_id and text are not read.
+    each get their result. Columns besides doc_id and text are not read. A text of more than CHUNK_CHARS
+    characters is taken in pieces cut at word borders, along which the paths go on.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = "doc_id long, lang_pred string, score double, spans array<struct<start:long,end:long,lang:string>>"
