@@ -23,13 +23,17 @@ def channel_dictionary(df: DataFrame, most: int = MOST_CHANNELS) -> list[str] |
     return [r[0] for r in found] if len(found) <= most else None
 
 
+def literal(names: Sequence[str]) -> Column:
+    return F.array(*[F.lit(name) for name in names]).cast("array<string>")
+
+
 def channel_masks(df: DataFrame, names: Sequence[str], *by: str) -> DataFrame:
     """``by`` and ``words``, an array of LONG: bit ``i % 64`` of word ``i // 64`` says that ``names[i]`` occurs.
 
     NULL and channels without a name set no bit, but their rows make groups.
     """
-    spark = df.sparkSession
-    numbered = spark.createDataFrame([(name, i // BITS, i % BITS) for i, name in enumerate(names)], "channel string, word int, bit int")
+    listed = df.sparkSession.range(1).select(F.posexplode(literal(names)).alias("i", "channel"))
+    numbered = listed.select("channel", F.floor(F.col("i") / BITS).alias("word"), (F.col("i") % BITS).alias("bit"))
     bits = df.select(*by, "channel").join(F.broadcast(numbered), "channel", "left")
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
     words = [F.coalesce(F.bit_or(F.when(F.col("word") == w, one)), F.lit(0).cast("long")) for w in range(-(-len(names) // BITS))]
@@ -43,12 +47,11 @@ def has_every(n: int) -> Column:
 
 def names_of(names: Sequence[str]) -> Column:
     """The names whose bits ``words`` has set, in order."""
-    listed = F.array(*[F.lit(name) for name in names]).cast("array<string>")
 
     def is_set(_: Column, i: Column) -> Column:
         return F.getbit(F.get("words", F.floor(i / BITS).cast("int")), i % BITS) == 1
 
-    return F.filter(listed, is_set)
+    return F.filter(literal(names), is_set)
 
 
 def users_of_every_channel(df: DataFrame, channels: DataFrame, *by: str) -> DataFrame:
