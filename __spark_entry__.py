@@ -344,6 +344,11 @@ def stream_alerts_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_zone(alert_table.latest_alerts(alert_table.read_alerts(spark, f"{path}/alerts")))
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Two for each core."""
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def stream_alerts_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A last message, four days after the others, moves the watermark past their windows."""
     folder = message_folder(spark, sf_dir)
@@ -353,7 +358,7 @@ def stream_alerts_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "stateful")
     found = stateful_alerts(message_stream(spark, folder), WINDOW, SLIDE, delay=WINDOW)
     handle = runner.store_handler(f"{path}/alerts")
-    runner.start(found, handle, f"{path}/checkpoint", drain=True).awaitTermination()
+    runner.start(found, handle, f"{path}/checkpoint", drain=True, partitions=state_partitions(spark)).awaitTermination()
     stored = alert_table.latest_alerts(alert_table.read_alerts(spark, f"{path}/alerts"))
     return without_zone(stored.drop("batch_id"))
 
@@ -366,7 +371,7 @@ def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
         message_folder(spark, sf_dir, only=part, path=messages)
         found = early_alerts(message_stream(spark, messages), WINDOW, SLIDE, delay="10 days")
         handle = early_handler(f"{path}/alerts", f"{path}/late")
-        runner.start(found, handle, f"{path}/checkpoint", drain=True).awaitTermination()
+        runner.start(found, handle, f"{path}/checkpoint", drain=True, partitions=state_partitions(spark)).awaitTermination()
     stored = alert_table.read_alerts(spark, f"{path}/alerts").withColumn("kind", F.lit("alert"))
     late = spark.read.parquet(f"{path}/late").withColumns({"kind": F.lit("late"), "transaction_count": F.lit(0).cast("long")})
     columns = ["kind", "transaction_count", "transaction_id", "customer_id", "amount"]

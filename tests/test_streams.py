@@ -3,6 +3,8 @@ from __future__ import annotations
 import os
 import time
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
@@ -15,7 +17,7 @@ from txnlens.sinks.alerts import latest_alerts, read_alerts
 from txnlens.sources.lines import parse_lines
 from txnlens.sources.streams import read_kafka, read_line_files
 from txnlens.streaming import runner
-from txnlens.streaming.alerts import stateful_alerts
+from txnlens.streaming.alerts import flagged_steps, judge_spans, stateful_alerts
 
 
 def message(number, second, customer=1, amount=450.0, kind="withdrawal", minute=0, hour=10):
@@ -104,6 +106,65 @@ def test_stateful_alerts_equal_batch_over_window_borders(spark, tmp_path, folder
     assert rows(found, *expected.columns) == rows(expected)
 
 
+def test_stateful_alerts_with_more_salts_than_bits_and_without_ids(spark, tmp_path, folder):
+    folder.add(*[message(i, i // 2) for i in range(100)], message("", 7), message("", 30, customer=2))
+    folder.add(SENTINEL)
+    found = run(spark, tmp_path, stateful_alerts(stream(spark, folder, 1), salts=70), runner.store_handler)
+    expected = sliding_alerts(batch(spark, folder))
+    found = found.select(*expected.columns)
+    assert expected.count() == 101
+    assert found.exceptAll(expected).count() == expected.exceptAll(found).count() == 0
+
+
+def test_flags_go_only_to_salts_that_have_rows(spark, folder):
+    folder.add(*[message(i, 10 + i % 3) for i in range(9)], message("", 11), message(20, 5, customer=2))
+    large = batch(spark, folder)
+    salted = "DISTINCT unix_micros(txn_timestamp) AS step, CAST(pmod(xxhash64(transaction_id), 16) AS INT) AS salt"
+    expected = rows(spark.sql(f"SELECT {salted} FROM {{large}} WHERE customer_id = 1", large=large))
+    found = flagged_steps(large, "1 minute", "1 second", 2, salts=16)
+    assert rows(found, "flag_step", "flag_salt") == expected
+    assert len(expected) <= 10
+    assert {r.flag_customer for r in found.collect()} == {1}
+
+
+def test_spans_judged_together_equal_plain_counts():
+    size, random = 60, np.random.default_rng(1)
+    starts = [int(s) * size for s in random.integers(-5, 5, 40)]
+    spans = []
+    for start in starts:
+        at = random.choice(3 * size, int(random.integers(0, 12)), replace=False)
+        spans.append([{"at": start + int(a), "n": int(random.integers(0, 3)), "salts": 1 << i} for i, a in enumerate(at)])
+    kind = pa.list_(pa.struct({"at": pa.int64(), "n": pa.int64(), "salts": pa.int64()}))
+
+    def plain(span, start):
+        full = {x["at"]: max(sum(y["n"] for y in span if w <= y["at"] < w + size) for w in range(x["at"] - size + 1, x["at"] + 1)) for x in span}
+        middle = sorted((x["at"], x["salts"]) for x in span if start + size <= x["at"] < start + 2 * size and full[x["at"]] > 2)
+        return [{"at": a, "count": full[a], "salts": s} for a, s in middle]
+
+    expected = [plain(*x) for x in zip(spans, starts, strict=True)]
+    assert sum(map(len, expected)) > 20
+    for part in (slice(0, 40), slice(7, 19), slice(5, 5)):
+        found = judge_spans(pa.array(spans, kind)[part], pa.array(starts, pa.int64())[part], size, 2)
+        assert found.to_pylist() == expected[part]
+
+
+def test_lines_are_parsed_once_under_filters(spark, folder):
+    folder.add(message(1, 10))
+    plan = batch(spark, folder).where("customer_id IS NOT NULL")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv(") == 1
+
+
+def test_a_stream_has_partitions_of_its_own(spark, tmp_path, folder):
+    folder.add(message(1, 10))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = stateful_alerts(stream(spark, folder))
+    handle = runner.store_handler(str(tmp_path / "alerts"))
+    query = runner.start(found, handle, str(tmp_path / "checkpoint"), drain=True, partitions=3)
+    query.awaitTermination()
+    assert {s.numShufflePartitions for s in query.recentProgress[0].stateOperators} == {3}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_late_row_is_dropped(spark, tmp_path, folder):
     folder.add(message(1, 10), message(2, 20))
     # Spark drops what was late by the watermark of the batch before.

@@ -29,4 +29,5 @@ def parse_lines(
         options["columnNameOfCorruptRecord"] = CORRUPT
     ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
     line = F.from_csv(F.col("value").cast("string"), ddl, options)
-    return df.select(line.alias("values")).select("values.*")
+    # Filters stay above a generator; pushed below a projection, each would parse every line again.
+    return df.select(F.inline(F.array(line)))

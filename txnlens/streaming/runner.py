@@ -13,20 +13,40 @@ from txnlens.sinks.alerts import compact_alerts, write_alert_batch
 BatchHandler = Callable[[DataFrame, int], None]
 
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
+
 def start(
-    df: DataFrame, handle: BatchHandler, checkpoint: str, *, every: str | None = None, drain: bool = False
+    df: DataFrame,
+    handle: BatchHandler,
+    checkpoint: str,
+    *,
+    every: str | None = None,
+    drain: bool = False,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Run ``handle(batch, batch_id)`` on each micro-batch.
 
     Batches follow each other without pause, or start ``every`` so often;
-    ``drain`` takes what is there now and ends.
+    ``drain`` takes what is there now and ends. ``partitions`` is the number of the stream's
+    shuffle partitions, else the session's. A new checkpoint keeps its number for good, and each partition of
+    each stateful operator writes files in every batch, up to four stores of a join, however few its rows.
     """
     writer = df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if drain:
         writer = writer.trigger(availableNow=True)
     elif every:
         writer = writer.trigger(processingTime=every)
-    return writer.start()
+    if not partitions:
+        return writer.start()
+    # A stream copies the session's settings when it starts.
+    conf = df.sparkSession.conf
+    before = conf.get(PARTITIONS)
+    conf.set(PARTITIONS, partitions)
+    try:
+        return writer.start()
+    finally:
+        conf.set(PARTITIONS, before)
 
 
 def start_parquet(
